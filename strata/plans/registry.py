@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import log_reports
+from . import log_reports, relational, splits
 
-_MODULES = [log_reports]
+_MODULES = [log_reports, relational, splits]
 
 
 def all_queries() -> dict:

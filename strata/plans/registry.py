@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import log_reports, relational, splits
+from . import log_reports, ml_claims, relational, splits
 
-_MODULES = [log_reports, relational, splits]
+_MODULES = [log_reports, relational, splits, ml_claims]
 
 
 def all_queries() -> dict:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import log_reports, ml_claims, relational, splits
+from . import log_reports, ml_claims, ml_recommend, relational, splits
 
-_MODULES = [log_reports, relational, splits, ml_claims]
+_MODULES = [log_reports, relational, splits, ml_claims, ml_recommend]
 
 
 def all_queries() -> dict:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import log_reports, ml_claims, ml_recommend, relational, splits
+from . import log_reports, ml_claims, ml_decompose, ml_recommend, relational, splits
 
-_MODULES = [log_reports, relational, splits, ml_claims, ml_recommend]
+_MODULES = [log_reports, relational, splits, ml_claims, ml_recommend, ml_decompose]
 
 
 def all_queries() -> dict:

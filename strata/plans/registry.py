@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import log_reports, ml_claims, ml_decompose, ml_recommend, relational, splits
+from . import (log_reports, ml_claims, ml_decompose, ml_recommend, ml_trees_text, relational,
+               splits)
 
-_MODULES = [log_reports, relational, splits, ml_claims, ml_recommend, ml_decompose]
+_MODULES = [log_reports, relational, splits, ml_claims, ml_recommend, ml_decompose,
+            ml_trees_text]
 
 
 def all_queries() -> dict:

@@ -130,7 +130,7 @@ def collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text, label) for documents with a quality label."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread_out=True)
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
     return docs.join(labels, "doc_id", "inner").select(
         "doc_id", "text", F.col("quality").cast("double").alias("label"))

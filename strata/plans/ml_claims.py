@@ -54,24 +54,31 @@ SELECT policy_id, CASE WHEN claim_nb > 0 THEN 1 ELSE 0 END AS nz_claim,
 FROM claims {" ".join(f"JOIN idx_{c} USING ({c})" for c in CATS)} CROSS JOIN stats"""
 
 
-def _prepared_split(spark, sf_dir):
-    """Checkpointed claims table split 70/30 by policy hash (repeatable, D-06 safe)."""
-    df = cut_lineage(hash_split(claims_targets(spark, sf_dir), ["policy_id"], [0.7, 0.3], seed=SEED))
-    return df.filter("part = 0"), df.filter("part = 1")
+def _prepared(spark, sf_dir):
+    """Train/test feature tables, split 70/30 by policy hash (repeatable).
+
+    The indexer → one-hot → scaler chain is fitted on the training rows only
+    (D-06) and applied to both sides once; both are written to the
+    checkpoint folder, so every model fit below reads prepared vectors
+    instead of re-running the joins and encoders.
+    """
+    df = hash_split(claims_targets(spark, sf_dir), ["policy_id"], [0.7, 0.3], seed=SEED)
+    train, test = df.filter("part = 0"), df.filter("part = 1")
+    prep = MO.pipeline(FE.tabular_stages(CATS, NUMS)).fit(train)
+    cols = ["policy_id", "claim_nb", "log_claim", "nz_claim", "features"]
+    return (cut_lineage(prep.transform(train).select(*cols)),
+            cut_lineage(prep.transform(test).select(*cols)))
 
 
 def _claim_models():
-    base = FE.tabular_stages(CATS, NUMS)
     return [
-        ("poisson", base + [MO.poisson("claim_nb", REG, max_iter=50)], "claim_nb", "regression"),
-        ("linear_l1", base + [MO.linear("log_claim", REG, 1.0, solver="normal", max_iter=50)],
+        ("poisson", MO.poisson("claim_nb", REG, max_iter=50), "claim_nb", "regression"),
+        ("linear_l1", MO.linear("log_claim", REG, 1.0, solver="normal", max_iter=50),
          "log_claim", "regression"),
-        ("linear_l2", base + [MO.linear("log_claim", REG, 0.0, solver="normal", max_iter=50)],
+        ("linear_l2", MO.linear("log_claim", REG, 0.0, solver="normal", max_iter=50),
          "log_claim", "regression"),
-        ("logistic_l1", base + [MO.logistic("nz_claim", REG, 1.0, "multinomial", 50)],
-         "nz_claim", "classification"),
-        ("logistic_l2", base + [MO.logistic("nz_claim", REG, 0.0, "multinomial", 50)],
-         "nz_claim", "classification"),
+        ("logistic_l1", MO.logistic("nz_claim", REG, 1.0, "multinomial", 50), "nz_claim", "classification"),
+        ("logistic_l2", MO.logistic("nz_claim", REG, 0.0, "multinomial", 50), "nz_claim", "classification"),
     ]
 
 
@@ -83,10 +90,10 @@ def _long_metrics(frame: DataFrame, model: str) -> DataFrame:
 
 def q_glm_models(spark, sf_dir):
     """Poisson, L1/L2 linear and L1/L2 logistic fits on train, scored on test (J-13)."""
-    train, test = _prepared_split(spark, sf_dir)
+    train, test = _prepared(spark, sf_dir)
     out = None
-    for name, stages, label, kind in _claim_models():
-        pred = MO.pipeline(stages).fit(train).transform(test)
+    for name, est, label, kind in _claim_models():
+        pred = est.fit(train).transform(test)
         if kind == "regression":
             part = _long_metrics(ME.regression_metrics(pred, label, "prediction")
                                  .select("rmse", "mse", "mae"), name)
@@ -100,24 +107,26 @@ def q_glm_models(spark, sf_dir):
 
 def q_model_coefficients(spark, sf_dir):
     """Named, dense coefficient tables of the five claim models (M-18)."""
-    train, _ = _prepared_split(spark, sf_dir)
+    train, _ = _prepared(spark, sf_dir)
+    names = MO.feature_names(train, "features")
     out = None
-    for name, stages, _label, _kind in _claim_models():
-        model = MO.pipeline(stages).fit(train)
-        names = MO.feature_names(model.transform(train.limit(1)), "features")
-        part = MO.coefficient_table(spark, model, names, name)
+    for name, est, _label, _kind in _claim_models():
+        part = MO.coefficient_table(spark, est.fit(train), names, name)
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def q_cv_curve(spark, sf_dir):
-    """Validation curves over regParam on a 10% sample for five models (J-14, M-19..M-23)."""
-    train, _ = _prepared_split(spark, sf_dir)
+    """Validation curves over regParam on a 10% sample for five models (J-14, M-19..M-23).
+
+    Folds re-fit the model only; the encoders were fitted on the whole
+    training side before the sample was drawn.
+    """
+    train, _ = _prepared(spark, sf_dir)
     subset = bernoulli_sample(train, 0.1, seed=SEED)
     out = None
-    for name, stages, label, kind in _claim_models():
-        est = MO.pipeline(stages)
-        final = stages[-1]
+    for name, est, label, kind in _claim_models():
+        final = est
         if kind == "regression":
             ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
         else:

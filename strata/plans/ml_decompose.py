@@ -11,6 +11,7 @@ from ..operators import decompose as D
 from ..operators import features as FE
 from ..operators import reshape
 from ..operators.topk import top_k_per_group
+from ..session import cut_lineage
 from ..sources.tables import read_table
 
 WIDTH = 64
@@ -60,7 +61,7 @@ S_COVARIANCE = _cov_sql()
 
 def doc_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, term, n): letter-run terms of whole documents, lower-cased."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread_out=True)
     terms = (docs.select("doc_id", F.explode(F.split(F.lower("text"), TERM_PATTERN)).alias("term"))
                  .filter(F.col("term") != ""))
     return terms.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n"))
@@ -74,11 +75,13 @@ def vocabulary(term_counts: DataFrame, size: int) -> DataFrame:
             .select("term", "term_rank"))
 
 
-def word_by_paper(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
+def word_by_paper(spark: SparkSession, sf_dir: str, size: int,
+                  vocab: DataFrame | None = None) -> DataFrame:
     """The word × paper count matrix in long form: (term, term_rank, doc_id, n)."""
     counts = doc_terms(spark, sf_dir)
+    vocab = vocab if vocab is not None else vocabulary(counts, size)
     # the vocabulary has ``size`` rows: a bounded broadcast.
-    return counts.join(F.broadcast(vocabulary(counts, size)), "term", "inner")
+    return counts.join(F.broadcast(vocab), "term", "inner")
 
 
 def q_transpose_long(spark, sf_dir):
@@ -99,12 +102,13 @@ vocab AS (
 SELECT doc_id, term, n FROM counts WHERE term IN (SELECT term FROM vocab)"""
 
 
-def paper_vectors(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
+def paper_vectors(spark: SparkSession, sf_dir: str, size: int,
+                  vocab: DataFrame | None = None) -> DataFrame:
     """(doc_id, features): each paper's counts over the vocabulary as a dense vector.
 
     Each row has exactly ``size`` slots, so the per-paper collect is bounded.
     """
-    wp = word_by_paper(spark, sf_dir, size)
+    wp = word_by_paper(spark, sf_dir, size, vocab)
     entries = F.map_from_entries(F.collect_list(F.struct((F.col("term_rank") - 1).cast("int"),
                                                          F.col("n").cast("double"))))
     per_doc = wp.groupBy("doc_id").agg(entries.alias("m"))
@@ -114,16 +118,21 @@ def paper_vectors(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
 
 
 def _paper_pca(spark, sf_dir):
-    """PCA of the standardised paper × word matrix (centred, so equal to its SVD)."""
-    vecs = paper_vectors(spark, sf_dir, VOCAB_PCA)
+    """PCA of the standardised paper × word matrix (centred, so equal to its SVD).
+
+    The vocabulary (``VOCAB_PCA`` rows) and the paper vectors are written to
+    the checkpoint folder once; the scaler and PCA fits read them back
+    instead of re-tokenising every text.
+    """
+    vocab = cut_lineage(vocabulary(doc_terms(spark, sf_dir), VOCAB_PCA))
+    vecs = cut_lineage(paper_vectors(spark, sf_dir, VOCAB_PCA, vocab))
     std = FE.scaler("features", "z").fit(vecs).transform(vecs).select("doc_id", F.col("z").alias("features"))
-    return D.pca(std, 2)
+    return D.pca(std, 2), vocab
 
 
 def q_paper_pca(spark, sf_dir):
     """Paper PCA: transpose → standardise → top-2 components as term loadings (J-17, A-07)."""
-    model = _paper_pca(spark, sf_dir)
-    vocab = vocabulary(doc_terms(spark, sf_dir), VOCAB_PCA)
+    model, vocab = _paper_pca(spark, sf_dir)
     loads = D.components_table(spark, model, [str(i + 1) for i in range(VOCAB_PCA)])
     return (loads.withColumn("term_rank", F.col("feature").cast("long")).drop("feature")
                  .join(vocab, "term_rank", "inner").select("term", "term_rank", "component", "loading"))
@@ -131,7 +140,7 @@ def q_paper_pca(spark, sf_dir):
 
 def q_paper_variance(spark, sf_dir):
     """Share of total variance explained by each paper component (A-06, D-10 fixed)."""
-    return D.variance_table(spark, _paper_pca(spark, sf_dir))
+    return D.variance_table(spark, _paper_pca(spark, sf_dir)[0])
 
 
 def q_svd_eigen(spark, sf_dir):

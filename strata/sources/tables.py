@@ -20,9 +20,24 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: list[str] | None = None) -> DataFrame:
+               columns: list[str] | None = None, spread_out: bool = False) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread(df) if spread_out else df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin rows over the cluster when a scan is narrower than it.
+
+    For CPU-heavy per-row work (regex parsing, tokenising long texts).  A
+    large input already scans as one task per row group, so this adds no
+    shuffle there; only under-split input (one row group, a gzip file) is
+    redistributed.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
 
 
 def schema_table(df: DataFrame) -> DataFrame:

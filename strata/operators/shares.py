@@ -33,12 +33,16 @@ def share_with_rest(counts: DataFrame, group_cols: Sequence[str], key_col: str,
     top = (top_k_per_group(counts.select(*group_cols, key_col, count_col), group_cols,
                            [F.col(count_col).desc(), F.col(key_col).asc()], k)
            .select(*group_cols, "rank", key_col, F.col(count_col).cast("long").alias("n")))
-    totals = counts.groupBy(*group_cols).agg(F.sum(count_col).cast("long").alias("__total"))
-    shown = top.groupBy(*group_cols).agg(F.sum("n").alias("__shown"))
-    rest = (totals.join(shown, group_cols, "left")
-            .select(*group_cols, F.lit(k + 1).cast("long").alias("rank"),
-                    F.lit(rest_label).alias(key_col),
-                    (F.col("__total") - F.coalesce(F.col("__shown"), F.lit(0))).alias("n")))
-    rows = top.unionByName(rest)
-    total_per_group = F.sum("n").over(Window.partitionBy(*group_cols))
-    return rows.withColumn("percentage", percent(F.col("n"), total_per_group, decimals))
+    # One carrier row per group holds the group total; after the union each
+    # group has at most k + 1 rows, so the windows below are tiny.
+    totals = (counts.groupBy(*group_cols).agg(F.sum(count_col).cast("long").alias("n"))
+              .select(*group_cols, F.lit(k + 1).cast("long").alias("rank"),
+                      F.lit(rest_label).alias(key_col), "n"))
+    w = Window.partitionBy(*group_cols)
+    is_rest = F.col("rank") == k + 1
+    total = F.max(F.when(is_rest, F.col("n"))).over(w)
+    shown = F.sum(F.when(~is_rest, F.col("n")).otherwise(0)).over(w)
+    rows = top.unionByName(totals).withColumns({"__total": total, "__shown": shown})
+    rows = rows.withColumn("n", F.when(is_rest, F.col("__total") - F.col("__shown")).otherwise(F.col("n")))
+    return (rows.withColumn("percentage", percent(F.col("n"), F.col("__total"), decimals))
+                .drop("__total", "__shown"))

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import logfields as lf
 from ..functions.numeric import sql_percent
 from ..operators import logs
+from ..session import shared_path
 from ..sources.access_log import ACCESS_LOG_SQL, access_log_from_events
 from ..sources.tables import read_table
+from ..streaming import logs as stream_logs
 
 TOP_K = 9
 
@@ -56,6 +58,24 @@ def q_log_malformed(spark, sf_dir):
                  F.sum(F.col("reply_bytes").isNull().cast("long")).alias("n_no_bytes"))
 
 
+def q_log_stream_region_counts(spark, sf_dir):
+    """Region report over a log parsed incrementally by Structured Streaming.
+
+    ``events`` is read as a file stream, turned into log lines and parsed
+    into day-partitioned Parquet in the shared folder (availableNow
+    trigger, exactly-once file sink); the batch report reads that table.
+    """
+    schema = read_table(spark, sf_dir, "events").schema
+    events = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+              .parquet(sf_dir))
+    base = shared_path(spark, "log-stream")
+    query = stream_logs.write_parsed(stream_logs.parse_stream(access_log_from_events(events),
+                                                              keep=("line_id",)),
+                                     f"{base}/data", f"{base}/_checkpoint")
+    query.awaitTermination()
+    return logs.region_summary(stream_logs.read_parsed(spark, f"{base}/data"))
+
+
 # ---------------------------------------------------------------- SQL twins
 
 def _region_case(col: str) -> str:
@@ -145,6 +165,7 @@ QUERIES = {
     "log_day_hour": q_log_day_hour,
     "log_day_hour_pivot": q_log_day_hour_pivot,
     "log_malformed": q_log_malformed,
+    "log_stream_region_counts": q_log_stream_region_counts,
 }
 
 ORACLES = {
@@ -156,4 +177,5 @@ ORACLES = {
     "log_day_hour": S_LOG_DAY_HOUR,
     "log_day_hour_pivot": S_LOG_DAY_HOUR_PIVOT,
     "log_malformed": S_LOG_MALFORMED,
+    "log_stream_region_counts": S_LOG_REGION_COUNTS,
 }

@@ -1 +1 @@
-"""streaming."""
+"""Structured Streaming: incremental log parsing into partitioned Parquet."""

@@ -105,9 +105,13 @@ def stratified_split(df: DataFrame, label_col: str, key_cols: Sequence[str], fra
 def time_cutoff(df: DataFrame, ts_col: str, fraction: float) -> DataFrame:
     """One row: the smallest ``ts`` with at least round(fraction·n) rows at or before it.
 
-    Exact, in two histogram passes: counts per day locate the boundary day,
-    then counts per distinct ``ts`` inside that day only.
+    Exact, in two passes.  Counts per day (one row per day) locate the
+    boundary day; inside that day the counts per distinct ``ts`` get a
+    distributed prefix sum (range partitions + per-partition offsets), so
+    even a day holding a third of all rows is never ranked in one task.
     """
+    from .metrics import ordered_prefix_sums
+
     day = F.date_trunc("day", F.col(ts_col))
     daily = df.groupBy(day.alias("__day")).agg(F.count(F.lit(1)).alias("__cnt"))
     wd = Window.orderBy("__day").rowsBetween(Window.unboundedPreceding, 0)
@@ -117,13 +121,13 @@ def time_cutoff(df: DataFrame, ts_col: str, fraction: float) -> DataFrame:
                   .filter((F.col("__cum") >= F.col("__target"))
                           & (F.col("__cum") - F.col("__cnt") < F.col("__target")))
                   .select("__day", (F.col("__target") - (F.col("__cum") - F.col("__cnt"))).alias("__need")))
-    in_day = (df.select(F.col(ts_col), day.alias("__day"))
+    # ``daily`` is one row (the boundary day): a bounded broadcast.
+    in_day = (df.select(F.col(ts_col).alias("__ts"), day.alias("__day"))
                 .join(F.broadcast(daily), "__day", "inner")
-                .groupBy("__day", "__need", F.col(ts_col)).agg(F.count(F.lit(1)).alias("__cnt")))
-    wt = Window.partitionBy("__day").orderBy(ts_col).rowsBetween(Window.unboundedPreceding, 0)
-    return (in_day.withColumn("__cum", F.sum("__cnt").over(wt))
-                  .filter(F.col("__cum") >= F.col("__need"))
-                  .agg(F.min(ts_col).alias("cutoff")))
+                .groupBy("__ts", "__need").agg(F.count(F.lit(1)).alias("__cnt")))
+    cum = ordered_prefix_sums(in_day, "__ts", ["__cnt"])
+    return (cum.filter(F.col("__cnt_before") + F.col("__cnt") >= F.col("__need"))
+               .agg(F.min("__ts").alias("cutoff")))
 
 
 def time_split(df: DataFrame, ts_col: str, fraction: float, flag_col: str = "is_train") -> DataFrame:

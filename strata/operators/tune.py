@@ -46,3 +46,18 @@ def validation_curve(spark: SparkSession, cv_model, model_name: str = "") -> Dat
         rows.append((model_name, setting, float(means[i]), float(stds[i]), i == best))
     return spark.createDataFrame(
         rows, "model string, setting string, mean_metric double, std_metric double, is_best boolean")
+
+
+def fit_concurrently(jobs: Sequence[tuple], parallelism: int = 4) -> list:
+    """Fit independent (estimator, dataset) pairs concurrently; models in input order.
+
+    Each fit is its own set of distributed Spark jobs; running a few at once
+    from driver threads (as ``CrossValidator(parallelism=…)`` does) keeps
+    the cluster busy when single fits have small stages.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    if parallelism <= 1 or len(jobs) <= 1:
+        return [est.fit(df) for est, df in jobs]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(jobs))) as pool:
+        return list(pool.map(lambda job: job[0].fit(job[1]), jobs))

@@ -60,14 +60,17 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/strata-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
 
-    Used before iterative fits so a lost executor recomputes from the
-    checkpoint instead of the whole lineage.  Never a local checkpoint.
+    Used before iterative fits: later jobs (and a lost executor's retries)
+    start from the written table instead of the whole lineage.  Parquet is
+    columnar and keeps ML column metadata; never a local checkpoint.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def shuffle_width(spark: SparkSession, default: int = 200) -> int:

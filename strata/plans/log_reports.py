@@ -18,7 +18,7 @@ TOP_K = 9
 
 def parsed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events",
-                        ["event_id", "ts", "user_id", "event_type", "value"])
+                        ["event_id", "ts", "user_id", "event_type", "value"], spread_out=True)
     return logs.parse_access_log(access_log_from_events(events), keep=("line_id",))
 
 

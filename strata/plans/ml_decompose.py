@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +59,31 @@ FROM (UNPIVOT (SELECT {cols} FROM embeddings) ON COLUMNS(*) INTO NAME k VALUE co
 S_COVARIANCE = _cov_sql()
 
 
+def q_matrix_size(spark, sf_dir):
+    """Rows and columns of the embedding row matrix (A-02): a count and an array size."""
+    emb = read_table(spark, sf_dir, "embeddings", ["embedding"])
+    return emb.agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.size("embedding")).cast("long").alias("n_cols"))
+
+
+S_MATRIX_SIZE = "SELECT count(*) AS n_rows, CAST(max(len(embedding)) AS BIGINT) AS n_cols FROM embeddings"
+
+
+def q_centred_rows(spark, sf_dir):
+    """Embeddings centred on the column means, scale kept (E-05), as (vec_id, dim, value)."""
+    data = _embeddings(spark, sf_dir)
+    centred = FE.scaler("features", "c", with_mean=True, with_std=False).fit(data).transform(data)
+    arr = vector_to_array(F.col("c"))
+    return (centred.select("vec_id", F.posexplode(arr).alias("dim", "value"))
+                   .select("vec_id", F.col("dim").cast("int").alias("dim"), F.round("value", 9).alias("value")))
+
+
+S_CENTRED_ROWS = f"""
+WITH cells AS (
+  SELECT vec_id, CAST(d - 1 AS INTEGER) AS dim, CAST(embedding[d] AS DOUBLE) AS x
+  FROM embeddings, range(1, {WIDTH} + 1) t(d))
+SELECT vec_id, dim, round(x - avg(x) OVER (PARTITION BY dim), 9) AS value FROM cells"""
+
+
 def doc_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, term, n): letter-run terms of whole documents, lower-cased."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread_out=True)
@@ -158,6 +183,8 @@ QUERIES = {
     "pca_variance": q_pca_variance,
     "pca_project": q_pca_project,
     "covariance": q_covariance,
+    "matrix_size": q_matrix_size,
+    "centred_rows": q_centred_rows,
     "transpose_long": q_transpose_long,
     "paper_pca": q_paper_pca,
     "paper_variance": q_paper_variance,
@@ -166,5 +193,7 @@ QUERIES = {
 
 ORACLES = {
     "covariance": S_COVARIANCE,
+    "matrix_size": S_MATRIX_SIZE,
+    "centred_rows": S_CENTRED_ROWS,
     "transpose_long": S_TRANSPOSE_LONG,
 }

@@ -30,6 +30,11 @@ def q_log_region_counts(spark, sf_dir):
     return logs.region_summary(parsed_log(spark, sf_dir))
 
 
+def q_log_unique_hosts(spark, sf_dir):
+    """Distinct hosts per region (J-10, G-07)."""
+    return logs.region_summary(parsed_log(spark, sf_dir)).select("region", "n_hosts")
+
+
 def q_log_top_hosts(spark, sf_dir):
     return logs.top_hosts(parsed_log(spark, sf_dir), k=TOP_K)
 
@@ -113,6 +118,9 @@ S_LOG_REGION_COUNTS = f"""WITH {PARSED_SQL}
 SELECT region, CAST(sum(n) AS BIGINT) AS n_requests, count(*) AS n_hosts
 FROM host_counts GROUP BY region"""
 
+S_LOG_UNIQUE_HOSTS = f"""WITH {PARSED_SQL}
+SELECT region, count(DISTINCT host) AS n_hosts FROM regioned WHERE region IS NOT NULL GROUP BY region"""
+
 S_LOG_TOP_HOSTS = f"""WITH {PARSED_SQL}
 SELECT region, rank, host, n FROM ranked WHERE rank <= {TOP_K}"""
 
@@ -159,6 +167,7 @@ FROM parsed"""
 QUERIES = {
     "log_parse": q_log_parse,
     "log_region_counts": q_log_region_counts,
+    "log_unique_hosts": q_log_unique_hosts,
     "log_top_hosts": q_log_top_hosts,
     "log_top1": q_log_top1,
     "log_share_rest": q_log_share_rest,
@@ -171,6 +180,7 @@ QUERIES = {
 ORACLES = {
     "log_parse": S_LOG_PARSE,
     "log_region_counts": S_LOG_REGION_COUNTS,
+    "log_unique_hosts": S_LOG_UNIQUE_HOSTS,
     "log_top_hosts": S_LOG_TOP_HOSTS,
     "log_top1": S_LOG_TOP1,
     "log_share_rest": S_LOG_SHARE_REST,

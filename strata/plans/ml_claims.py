@@ -87,10 +87,10 @@ def _long_metrics(frame: DataFrame, model: str) -> DataFrame:
             .unpivot([], cols, "metric", "value").select(F.lit(model).alias("model"), "metric", "value"))
 
 
-def q_glm_models(spark, sf_dir):
+def q_glm_models(spark, sf_dir, families: tuple[str, ...] = ("poisson", "linear", "logistic")):
     """Poisson, L1/L2 linear and L1/L2 logistic fits on train, scored on test (J-13)."""
     train, test = _prepared(spark, sf_dir)
-    specs = _claim_models()
+    specs = [m for m in _claim_models() if m[0].split("_")[0] in families]
     fitted = TU.fit_concurrently([(est, train) for _, est, _, _ in specs])
     out = None
     for (name, _est, label, kind), model in zip(specs, fitted):
@@ -106,6 +106,21 @@ def q_glm_models(spark, sf_dir):
     return out
 
 
+def q_poisson(spark, sf_dir):
+    """Poisson regression with log link on the claim count (M-03)."""
+    return q_glm_models(spark, sf_dir, ("poisson",))
+
+
+def q_linreg(spark, sf_dir):
+    """L1 and L2 linear regression on the log claim count (M-02)."""
+    return q_glm_models(spark, sf_dir, ("linear",))
+
+
+def q_logistic(spark, sf_dir):
+    """L1 and L2 multinomial-family logistic regression on the non-zero flag (M-04)."""
+    return q_glm_models(spark, sf_dir, ("logistic",))
+
+
 def q_model_coefficients(spark, sf_dir):
     """Named, dense coefficient tables of the five claim models (M-18)."""
     train, _ = _prepared(spark, sf_dir)
@@ -248,6 +263,9 @@ SELECT metric, round(value, 9) AS value FROM (
 QUERIES = {
     "claims_features": q_claims_features,
     "glm_models": q_glm_models,
+    "poisson": q_poisson,
+    "linreg": q_linreg,
+    "logistic": q_logistic,
     "model_coefficients": q_model_coefficients,
     "cv_curve": q_cv_curve,
     "linreg_one_feature": q_linreg_one_feature,

@@ -42,9 +42,14 @@ def parse_access_log(lines: DataFrame, value_col: str = "value",
 
 
 def with_region(parsed: DataFrame, regions: dict[str, str] | None = None) -> DataFrame:
-    """Rows whose host suffix is a listed region, with a ``region`` column."""
+    """Rows whose host suffix is a listed region, with a ``region`` column.
+
+    Both null tests are stated here so that every branch of a report has
+    the same scan predicate (joins would otherwise infer extra ones on one
+    side only) and Spark can reuse one scan's exchange for all branches.
+    """
     return (parsed.withColumn("region", lf.region_of(F.col("host"), regions))
-                  .filter(F.col("region").isNotNull()))
+                  .filter(F.col("region").isNotNull() & F.col("host").isNotNull()))
 
 
 def host_counts(parsed: DataFrame, regions: dict[str, str] | None = None) -> DataFrame:
@@ -82,16 +87,18 @@ def host_shares(parsed: DataFrame, k: int = 9, regions: dict[str, str] | None =
 def top_host_day_hour(parsed: DataFrame, regions: dict[str, str] | None = None) -> DataFrame:
     """Visits of each region's top host per (day, hour) of local log time (J-12).
 
-    The per-region top host table has one row per region, a size fixed by
-    the ``regions`` parameter, so broadcasting it is safe at any scale.
+    One scan: requests are counted per (region, host, day, hour) with
+    map-side combine; host totals and the top host per region come from
+    that aggregate, and the top-host table (one row per region, a size
+    fixed by ``regions``) is broadcast back onto it.
     """
-    tops = F.broadcast(top_host(parsed, regions).select("region", "host"))
-    rows = with_region(parsed.select("host", "timestamp"), regions)
-    return (rows.join(tops, ["region", "host"], "inner")
-            .select("region", "host",
-                    lf.day_of_log(F.col("timestamp")).alias("day"),
-                    lf.hour_of_log(F.col("timestamp")).alias("hour"))
-            .groupBy("region", "host", "day", "hour").agg(F.count(F.lit(1)).alias("n")))
+    rows = with_region(parsed.select("host", "timestamp"), regions).select(
+        "region", "host", lf.day_of_log(F.col("timestamp")).alias("day"),
+        lf.hour_of_log(F.col("timestamp")).alias("hour"))
+    cells = rows.groupBy("region", "host", "day", "hour").agg(F.count(F.lit(1)).alias("n"))
+    totals = cells.groupBy("region", "host").agg(F.sum("n").alias("n"))
+    tops = F.broadcast(top_one_per_group(totals, ["region"], "host", "n").select("region", "host"))
+    return cells.join(tops, ["region", "host"], "inner").select("region", "host", "day", "hour", "n")
 
 
 def day_hour_pivot(day_hour: DataFrame, days: list[str] | None = None) -> DataFrame:

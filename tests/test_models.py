@@ -44,6 +44,12 @@ def test_pca_golden(spark):
     assert abs(norm - 1) < 1e-9
 
 
+def test_row_matrix_components_golden(spark):
+    pc = D.principal_components(_pca_rows(spark), 2).toArray()
+    assert np.allclose(np.abs(pc[:, 1]), [0.28423808, 0.05621156, 0.76362648, 0.56529588, 0.11560341],
+                       atol=1e-7)
+
+
 def test_centring_golden(spark):
     data = _pca_rows(spark)
     out = FE.scaler("features", "c", with_mean=True, with_std=False).fit(data).transform(data)

@@ -33,13 +33,24 @@ def cross_validate(estimator, param_maps: list, evaluator, df: DataFrame, folds:
     return cv.fit(df)
 
 
+def best_index(cv_model) -> int:
+    """Grid index of the best mean metric, honouring the metric's direction (M-21)."""
+    means = list(cv_model.avgMetrics)
+    larger = cv_model.getEvaluator().isLargerBetter()
+    return max(range(len(means)), key=lambda i: means[i] if larger else -means[i])
+
+
+def refit_best(estimator, cv_model, df: DataFrame):
+    """Fit ``estimator`` with the CV-selected setting on ``df`` (tune small, refit large)."""
+    return estimator.copy(cv_model.getEstimatorParamMaps()[best_index(cv_model)]).fit(df)
+
+
 def validation_curve(spark: SparkSession, cv_model, model_name: str = "") -> DataFrame:
     """(model, setting, mean_metric, std_metric, is_best) per grid point (M-21, M-23)."""
     maps = cv_model.getEstimatorParamMaps()
     means = list(cv_model.avgMetrics)
     stds = list(getattr(cv_model, "stdMetrics", []) or [0.0] * len(means))
-    larger = cv_model.getEvaluator().isLargerBetter()
-    best = max(range(len(means)), key=lambda i: means[i] if larger else -means[i])
+    best = best_index(cv_model)
     rows = []
     for i, pm in enumerate(maps):
         setting = ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name))

@@ -36,8 +36,20 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int | None = None) ->
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
-def stratified_sample(df: DataFrame, label_col: str, fractions: dict, seed: int | None = None) -> DataFrame:
-    """Per-label Bernoulli sample (B-04, B-05): ``sampleBy``."""
+MAX_STRATA = 10_000
+
+
+def stratified_sample(df: DataFrame, label_col: str, fractions, seed: int | None = None) -> DataFrame:
+    """Per-label Bernoulli sample (B-04, B-05): ``sampleBy``.
+
+    ``fractions`` is a dict or a (label, fraction) DataFrame (B-06); the
+    latter has one row per stratum and is fetched under a size bound.
+    """
+    if isinstance(fractions, DataFrame):
+        rows = fractions.select(label_col, "fraction").limit(MAX_STRATA + 1).collect()
+        if len(rows) > MAX_STRATA:
+            raise ValueError(f"more than {MAX_STRATA} strata")
+        fractions = {r[0]: float(r[1]) for r in rows}
     return df.sampleBy(label_col, fractions, seed)
 
 

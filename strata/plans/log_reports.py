@@ -9,7 +9,7 @@ from ..functions import logfields as lf
 from ..functions.numeric import sql_percent
 from ..operators import logs
 from ..session import shared_path
-from ..sources.access_log import ACCESS_LOG_SQL, access_log_from_events
+from ..sources.access_log import ACCESS_LOG_SQL, access_log_from_events, read_access_log
 from ..sources.tables import read_table
 from ..streaming import logs as stream_logs
 
@@ -63,6 +63,14 @@ def q_log_malformed(spark, sf_dir):
                  F.sum(F.col("reply_bytes").isNull().cast("long")).alias("n_no_bytes"))
 
 
+def q_log_text_parse(spark, sf_dir):
+    """Log lines written as gzip text, scanned back as a text source and parsed (S-01, J-08)."""
+    events = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    path = shared_path(spark, "log-text")
+    access_log_from_events(events).select("value").write.option("compression", "gzip").text(path)
+    return logs.parse_access_log(read_access_log(spark, path))
+
+
 def q_log_stream_region_counts(spark, sf_dir):
     """Region report over a log parsed incrementally by Structured Streaming.
 
@@ -114,6 +122,11 @@ SELECT line_id, host, timestamp, request, reply_code, reply_bytes,
        (host = '' OR timestamp = '') AS malformed
 FROM parsed"""
 
+S_LOG_TEXT_PARSE = f"""WITH {PARSED_SQL}
+SELECT host, timestamp, request, reply_code, reply_bytes,
+       (host = '' OR timestamp = '') AS malformed
+FROM parsed"""
+
 S_LOG_REGION_COUNTS = f"""WITH {PARSED_SQL}
 SELECT region, CAST(sum(n) AS BIGINT) AS n_requests, count(*) AS n_hosts
 FROM host_counts GROUP BY region"""
@@ -174,6 +187,7 @@ QUERIES = {
     "log_day_hour": q_log_day_hour,
     "log_day_hour_pivot": q_log_day_hour_pivot,
     "log_malformed": q_log_malformed,
+    "log_text_parse": q_log_text_parse,
     "log_stream_region_counts": q_log_stream_region_counts,
 }
 
@@ -187,5 +201,6 @@ ORACLES = {
     "log_day_hour": S_LOG_DAY_HOUR,
     "log_day_hour_pivot": S_LOG_DAY_HOUR_PIVOT,
     "log_malformed": S_LOG_MALFORMED,
+    "log_text_parse": S_LOG_TEXT_PARSE,
     "log_stream_region_counts": S_LOG_REGION_COUNTS,
 }

@@ -70,7 +70,7 @@ def q_split_random(spark, sf_dir):
 def q_sample_stratified(spark, sf_dir):
     """Per-label 1/2 Bernoulli sample of the collision table (B-04, B-05, B-06)."""
     df = fx.collisions(spark, sf_dir)
-    sample = S.stratified_sample(df, "label", {0.0: 0.5, 1.0: 0.5}, seed=42)
+    sample = S.stratified_sample(df, "label", S.constant_fractions(df, "label", 0.5), seed=42)
     return sample.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .tables import spread
+
 # Fixed values of the stand-in log: host suffix chosen by user_id mod 4,
 # time-zone text, request method/protocol, and the malformed-line marker.
 SUFFIXES = [".de", ".ca", ".sg", ".com"]
@@ -21,12 +23,15 @@ GARBAGE_TEXT = "garbage"
 
 def read_access_log(spark: SparkSession, path: str,
                     partitions: int | None = None) -> DataFrame:
-    """One row per line in column ``value``; spread over ``partitions``."""
+    """One row per line in column ``value``.
+
+    gzip files are not splittable (one task per file): the scan is spread
+    over the cluster when it is narrower than that, or over ``partitions``.
+    """
     lines = spark.read.text(path)
-    if path.endswith(".gz") or partitions:
-        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        lines = lines.repartition(n)
-    return lines
+    if partitions:
+        return lines.repartition(partitions)
+    return spread(lines)
 
 
 def _suffix(user_id: Column) -> Column:

@@ -127,13 +127,12 @@ vocab AS (
 SELECT doc_id, term, n FROM counts WHERE term IN (SELECT term FROM vocab)"""
 
 
-def paper_vectors(spark: SparkSession, sf_dir: str, size: int,
-                  vocab: DataFrame | None = None) -> DataFrame:
+def paper_vectors(wp: DataFrame, size: int) -> DataFrame:
     """(doc_id, features): each paper's counts over the vocabulary as a dense vector.
 
-    Each row has exactly ``size`` slots, so the per-paper collect is bounded.
+    ``wp`` is the word × paper table of :func:`word_by_paper`.  Each row has
+    exactly ``size`` slots, so the per-paper collect is bounded.
     """
-    wp = word_by_paper(spark, sf_dir, size, vocab)
     entries = F.map_from_entries(F.collect_list(F.struct((F.col("term_rank") - 1).cast("int"),
                                                          F.col("n").cast("double"))))
     per_doc = wp.groupBy("doc_id").agg(entries.alias("m"))
@@ -145,12 +144,13 @@ def paper_vectors(spark: SparkSession, sf_dir: str, size: int,
 def _paper_pca(spark, sf_dir):
     """PCA of the standardised paper × word matrix (centred, so equal to its SVD).
 
-    The vocabulary (``VOCAB_PCA`` rows) and the paper vectors are written to
-    the checkpoint folder once; the scaler and PCA fits read them back
-    instead of re-tokenising every text.
+    Texts are tokenised once: the vocabulary-restricted word × paper table
+    is written to the shared folder, and the vocabulary and the paper
+    vectors (also written, for the scaler and PCA passes) come from it.
     """
-    vocab = cut_lineage(vocabulary(doc_terms(spark, sf_dir), VOCAB_PCA))
-    vecs = cut_lineage(paper_vectors(spark, sf_dir, VOCAB_PCA, vocab))
+    wp = cut_lineage(word_by_paper(spark, sf_dir, VOCAB_PCA), "word-paper")
+    vocab = wp.select("term", "term_rank").distinct()
+    vecs = cut_lineage(paper_vectors(wp, VOCAB_PCA), "paper-vectors")
     std = FE.scaler("features", "z").fit(vecs).transform(vecs).select("doc_id", F.col("z").alias("features"))
     return D.pca(std, 2), vocab
 

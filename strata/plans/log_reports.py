@@ -82,11 +82,10 @@ def q_log_stream_region_counts(spark, sf_dir):
     events = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
               .parquet(sf_dir))
     base = shared_path(spark, "log-stream")
-    query = stream_logs.write_parsed(stream_logs.parse_stream(access_log_from_events(events),
-                                                              keep=("line_id",)),
-                                     f"{base}/data", f"{base}/_checkpoint")
+    parsed = stream_logs.parse_stream(access_log_from_events(events), keep=("line_id",))
+    query = stream_logs.write_parsed(parsed, f"{base}/data", f"{base}/_checkpoint")
     query.awaitTermination()
-    return logs.region_summary(stream_logs.read_parsed(spark, f"{base}/data"))
+    return logs.region_summary(stream_logs.read_parsed(spark, f"{base}/data", parsed.schema))
 
 
 # ---------------------------------------------------------------- SQL twins

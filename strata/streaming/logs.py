@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..functions import logfields as lf
 from ..operators.logs import parse_access_log
@@ -35,6 +36,11 @@ def write_parsed(parsed_stream: DataFrame, out_path: str, checkpoint_path: str,
     return writer.start()
 
 
-def read_parsed(spark: SparkSession, out_path: str) -> DataFrame:
-    """The parsed log as written by :func:`write_parsed`."""
-    return spark.read.parquet(out_path)
+def read_parsed(spark: SparkSession, out_path: str, schema: StructType | None = None) -> DataFrame:
+    """The parsed log as written by :func:`write_parsed`.
+
+    Pass the parsed stream's ``schema`` so the ``day`` partition stays text
+    (partition discovery would otherwise infer ``01`` as an integer).
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(out_path)

@@ -18,6 +18,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: the zero floor before the log target, as in the reference.
 LOG_FLOOR = 0.0001
 
 

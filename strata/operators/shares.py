@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import percent
 from .topk import top_k_per_group
 
+# Fixed value: label of the residual bucket, as in the reference report.
 REST_LABEL = "the rest"
 
 

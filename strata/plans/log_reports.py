@@ -13,6 +13,7 @@ from ..sources.access_log import ACCESS_LOG_SQL, access_log_from_events, read_ac
 from ..sources.tables import read_table
 from ..streaming import logs as stream_logs
 
+# Fixed value: hosts shown per region, as in the reference report.
 TOP_K = 9
 
 

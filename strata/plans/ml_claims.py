@@ -17,6 +17,8 @@ from . import fixtures as fx
 
 CATS = fx.CLAIM_CATEGORIES
 NUMS = fx.CLAIM_NUMERICS
+# Fixed values of the reference claims job: seed 37, regParam 0.01, the
+# regParam grid 0.001/0.01/0.1/1/10 and the lab sweep 0/0.1/0.2/0.5.
 SEED = 37
 REG = 0.01
 REG_GRID = [0.001, 0.01, 0.1, 1.0, 10.0]

@@ -43,7 +43,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     never replace it.  Only when nothing is configured (tests on one machine)
     do we create a scratch folder of our own.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a SparkContext (Spark Connect)
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strata-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current

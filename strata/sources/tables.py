@@ -34,10 +34,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     shuffle there; only under-split input (one row group, a gzip file) is
     redistributed.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (Spark Connect): leave the scan as it is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)
 
 
 def schema_table(df: DataFrame) -> DataFrame:

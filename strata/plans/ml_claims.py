@@ -153,7 +153,7 @@ def q_cv_curve(spark, sf_dir):
             from pyspark.ml.evaluation import MulticlassClassificationEvaluator
             ev = MulticlassClassificationEvaluator(labelCol=label, metricName="f1")
         cvm = TU.cross_validate(est, TU.grid([(final.regParam, REG_GRID)]), ev, subset,
-                                folds=3, seed=SEED, parallelism=4)
+                                folds=3, seed=SEED, parallelism=8)
         part = TU.validation_curve(spark, cvm, name)
         out = part if out is None else out.unionByName(part)
     return out

@@ -48,6 +48,16 @@ def q_log_share_rest(spark, sf_dir):
     return logs.host_shares(parsed_log(spark, sf_dir), k=TOP_K)
 
 
+def q_log_share_display(spark, sf_dir):
+    """The share table for display: percentages as text with two decimals (X-09).
+
+    Formatting happens last, on the final numeric column; sums and the
+    residual are computed on numbers (the reference summed the strings).
+    """
+    shares = logs.host_shares(parsed_log(spark, sf_dir), k=TOP_K)
+    return shares.select("region", "rank", "host", F.format_number("percentage", 2).alias("percentage_text"))
+
+
 def q_log_day_hour(spark, sf_dir):
     return logs.top_host_day_hour(parsed_log(spark, sf_dir))
 
@@ -153,6 +163,9 @@ rows_ AS (
 SELECT r.region, r.rank, r.host, r.n, {sql_percent('r.n', 't.total')} AS percentage
 FROM rows_ r JOIN totals t ON r.region = t.region"""
 
+S_LOG_SHARE_DISPLAY = f"""WITH share AS ({S_LOG_SHARE_REST})
+SELECT region, rank, host, printf('%.2f', percentage) AS percentage_text FROM share"""
+
 DAY_HOUR_SQL = f"""{PARSED_SQL},
 day_hour AS (
   SELECT g.region, g.host,
@@ -184,6 +197,7 @@ QUERIES = {
     "log_top_hosts": q_log_top_hosts,
     "log_top1": q_log_top1,
     "log_share_rest": q_log_share_rest,
+    "log_share_display": q_log_share_display,
     "log_day_hour": q_log_day_hour,
     "log_day_hour_pivot": q_log_day_hour_pivot,
     "log_malformed": q_log_malformed,
@@ -198,6 +212,7 @@ ORACLES = {
     "log_top_hosts": S_LOG_TOP_HOSTS,
     "log_top1": S_LOG_TOP1,
     "log_share_rest": S_LOG_SHARE_REST,
+    "log_share_display": S_LOG_SHARE_DISPLAY,
     "log_day_hour": S_LOG_DAY_HOUR,
     "log_day_hour_pivot": S_LOG_DAY_HOUR_PIVOT,
     "log_malformed": S_LOG_MALFORMED,

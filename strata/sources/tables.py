@@ -42,6 +42,14 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df if have >= want else df.repartition(want)
 
 
+def declared_table(spark: SparkSession, schema, rows=()) -> DataFrame:
+    """A table with a declared schema, empty or with a few literal rows (S-05, S-08).
+
+    For model-sized or parameter-sized tables only; data never goes this way.
+    """
+    return spark.createDataFrame(list(rows), schema)
+
+
 def schema_table(df: DataFrame) -> DataFrame:
     """Column names and types of ``df`` as a DataFrame (S-09)."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]

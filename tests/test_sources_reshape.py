@@ -46,6 +46,15 @@ def test_spread_only_when_narrow(spark):
     assert spread(spark.range(0, 100, numPartitions=1), 8).rdd.getNumPartitions() == 8
 
 
+def test_declared_table_and_widening_union(spark):
+    from strata.sources.tables import declared_table
+    empty = declared_table(spark, "split double, genre string")
+    assert empty.count() == 0 and empty.columns == ["split", "genre"]
+    rows = declared_table(spark, "split int, genre string", [(1, "a")])
+    out = empty.unionByName(rows.withColumn("split", F.col("split").cast("double")))
+    assert [tuple(r) for r in out.collect()] == [(1.0, "a")]
+
+
 def test_schema_table(spark):
     df = spark.createDataFrame([(1, "a")], "id long, s string")
     rows = schema_table(df).collect()

@@ -82,3 +82,11 @@ def shuffle_width(spark: SparkSession, default: int = 200) -> int:
         return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     except Exception:  # pragma: no cover - conf always present in practice
         return default
+
+
+def cluster_cores(spark: SparkSession) -> int | None:
+    """Default parallelism (total executor cores); None when not exposed."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # sessions without a SparkContext
+        return None

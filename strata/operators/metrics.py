@@ -11,7 +11,8 @@ task, no binning.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shuffle_width
@@ -23,7 +24,7 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     out = df.agg(F.count(F.lit(1)).alias("n"), F.avg(err * err).alias("mse"),
                  F.avg(F.abs(err)).alias("mae"), F.var_pop(F.col(label)).alias("__var"))
     return out.select("n", F.sqrt("mse").alias("rmse"), "mse", "mae",
-                      (F.lit(1.0) - F.col("mse") / F.col("__var")).alias("r2"))
+                      (F.lit(1.0) - F.try_divide(F.col("mse"), F.col("__var"))).alias("r2"))
 
 
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -41,15 +42,15 @@ def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFr
                                                .otherwise(0)).alias("tp"))
     by_pred = conf.groupBy(F.col("prediction").alias("label")).agg(F.sum("n").alias("n_pred"))
     per = by_label.join(by_pred, "label", "left").fillna(0, ["n_pred"])
-    prec = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred")).otherwise(0.0)
-    rec = F.col("tp") / F.col("n_true")
-    f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
+    prec = F.coalesce(F.try_divide(F.col("tp"), F.col("n_pred")), F.lit(0.0))
+    rec = F.try_divide(F.col("tp"), F.col("n_true"))
+    f1 = F.when(prec + rec > 0, F.try_divide(2 * prec * rec, prec + rec)).otherwise(0.0)
     per = per.select("n_true", "tp", prec.alias("p"), rec.alias("r"), f1.alias("f1"))
     tot = F.sum("n_true")
-    return per.agg(tot.alias("n"), (F.sum("tp") / tot).alias("accuracy"),
-                   (F.sum(F.col("p") * F.col("n_true")) / tot).alias("weighted_precision"),
-                   (F.sum(F.col("r") * F.col("n_true")) / tot).alias("weighted_recall"),
-                   (F.sum(F.col("f1") * F.col("n_true")) / tot).alias("weighted_f1"))
+    return per.agg(tot.alias("n"), F.try_divide(F.sum("tp"), tot).alias("accuracy"),
+                   F.try_divide(F.sum(F.col("p") * F.col("n_true")), tot).alias("weighted_precision"),
+                   F.try_divide(F.sum(F.col("r") * F.col("n_true")), tot).alias("weighted_recall"),
+                   F.try_divide(F.sum(F.col("f1") * F.col("n_true")), tot).alias("weighted_f1"))
 
 
 def ordered_prefix_sums(df: DataFrame, order_col: str, value_cols: list[str],
@@ -81,11 +82,11 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("long").alias("neg"))
     cum = ordered_prefix_sums(per_score, "score", ["neg"])
     wins = F.col("pos").cast("double") * (F.col("neg_before").cast("double") + F.col("neg") * 0.5)
-    return cum.agg((F.sum(wins) / (F.sum("pos").cast("double") * F.sum("neg").cast("double")))
+    # null when only one class is present (no pairs to rank)
+    return cum.agg(F.try_divide(F.sum(wins), F.sum("pos").cast("double") * F.sum("neg").cast("double"))
                    .alias("auc"))
 
 
-def positive_score(prob_col: str = "probability") -> "F.Column":
+def positive_score(prob_col: str = "probability") -> Column:
     """Probability of class 1 from an ML probability/rawPrediction vector."""
-    from pyspark.ml.functions import vector_to_array
     return vector_to_array(F.col(prob_col))[1]

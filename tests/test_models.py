@@ -106,6 +106,13 @@ def test_roc_auc_matches_exact_evaluator(scored):
     assert abs(ours - ev) < 1e-9
 
 
+def test_degenerate_inputs_give_null_not_errors(spark):
+    one_class = spark.createDataFrame([(1, 0.3), (1, 0.5)], "label int, score double")
+    assert ME.roc_auc(one_class, "label", "score").first()["auc"] is None
+    constant = spark.createDataFrame([(1.0, 0.5), (1.0, 0.7)], "y double, p double")
+    assert ME.regression_metrics(constant, "y", "p").first()["r2"] is None
+
+
 def test_prefix_sums_layout_free(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7 % 1000).alias("k"), F.lit(1).alias("v"))
     out = ME.ordered_prefix_sums(df, "k", ["v"], partitions=7)

@@ -19,13 +19,14 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     user = order's customer, item = part, rating = quantity / 10 (0.1–5.0),
     ts = order date.  ``rating_tenths`` is the same rating as an exact
-    integer (used where means must be exact).
+    integer (used where means must be exact).  Keys stay 64-bit: ALS does
+    its own checked cast to int, and nothing else needs narrower ids.
     """
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_quantity"])
     od = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     return (li.join(od, li.l_orderkey == od.o_orderkey, "inner")
-              .select(F.col("o_custkey").cast("int").alias("user_id"),
-                      F.col("l_partkey").cast("int").alias("item_id"),
+              .select(F.col("o_custkey").alias("user_id"),
+                      F.col("l_partkey").alias("item_id"),
                       (F.col("l_quantity") / 10.0).alias("rating"),
                       F.col("l_quantity").cast("long").alias("rating_tenths"),
                       F.col("o_orderdate").alias("ts"),
@@ -34,7 +35,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RATINGS_SQL = """
 ratings AS (
-  SELECT CAST(o_custkey AS INTEGER) AS user_id, CAST(l_partkey AS INTEGER) AS item_id,
+  SELECT o_custkey AS user_id, l_partkey AS item_id,
          l_quantity / 10.0 AS rating, CAST(l_quantity AS BIGINT) AS rating_tenths,
          o_orderdate AS ts, l_orderkey AS order_key
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
@@ -46,13 +47,13 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
     genres = F.concat_ws("|", F.col("p_type"), F.col("p_brand"),
                          F.regexp_replace(F.col("p_name"), " ", "|"))
-    return part.select(F.col("p_partkey").cast("int").alias("item_id"),
+    return part.select(F.col("p_partkey").alias("item_id"),
                        F.col("p_name").alias("title"), genres.alias("genres"))
 
 
 CATALOGUE_SQL = """
 catalogue AS (
-  SELECT CAST(p_partkey AS INTEGER) AS item_id, p_name AS title,
+  SELECT p_partkey AS item_id, p_name AS title,
          concat_ws('|', p_type, p_brand, replace(p_name, ' ', '|')) AS genres
   FROM part)
 """
@@ -61,7 +62,7 @@ catalogue AS (
 def user_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id, cluster): a deterministic clustering of users by market segment."""
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
-    return cust.select(F.col("c_custkey").cast("int").alias("user_id"),
+    return cust.select(F.col("c_custkey").alias("user_id"),
                        F.col("c_mktsegment").alias("cluster"))
 
 

@@ -142,6 +142,45 @@ def time_cutoff(df: DataFrame, ts_col: str, fraction: float) -> DataFrame:
                .agg(F.min("__ts").alias("cutoff")))
 
 
+def time_cutoffs(df: DataFrame, ts_col: str, fractions: Sequence[float]) -> DataFrame:
+    """Exact cut-offs for several fractions at once: one row, column ``c{i}`` per fraction.
+
+    One daily histogram and one pass over the boundary days serve every
+    fraction.  The row is bounded by ``len(fractions)``; callers may fetch
+    it (``first()``) and filter with literals, which reach the scan.
+    """
+    from .metrics import ordered_prefix_sums
+
+    day = F.date_trunc("day", F.col(ts_col))
+    daily = df.groupBy(day.alias("__day")).agg(F.count(F.lit(1)).alias("__cnt"))
+    wd = Window.orderBy("__day").rowsBetween(Window.unboundedPreceding, 0)
+    daily = (daily.withColumn("__cum", F.sum("__cnt").over(wd))
+                  .withColumn("__n", F.sum("__cnt").over(Window.partitionBy())))
+    # one boundary row per fraction (bounded by len(fractions))
+    targets = F.array(*[F.struct(F.lit(i).alias("i"), F.greatest(_target(F.col("__n"), f), F.lit(1)).alias("t"))
+                        for i, f in enumerate(fractions)])
+    bounds = (daily.select("__day", "__cnt", "__cum", F.explode(targets).alias("__f"))
+                   .filter((F.col("__cum") >= F.col("__f.t")) & (F.col("__cum") - F.col("__cnt") < F.col("__f.t")))
+                   .select(F.col("__f.i").alias("__i"), "__day",
+                           (F.col("__f.t") - (F.col("__cum") - F.col("__cnt"))).alias("__need")))
+    in_day = (df.select(F.col(ts_col).alias("__ts"), day.alias("__day"))
+                .join(F.broadcast(bounds), "__day", "inner")
+                .groupBy("__i", "__need", "__ts").agg(F.count(F.lit(1)).alias("__cnt")))
+    # prefix sums within each fraction's boundary day: order by (fraction, ts)
+    keyed = in_day.withColumn("__k", F.struct("__i", "__ts"))
+    cum = ordered_prefix_sums(keyed, "__k", ["__cnt"])
+    # rows of earlier fractions come first in (fraction, ts) order: subtract
+    # each fraction's smallest prefix (one row per fraction, broadcast).
+    base = cum.groupBy("__i").agg(F.min("__cnt_before").alias("__base"))
+    hits = (cum.join(F.broadcast(base), "__i", "inner")
+               .withColumn("__within", F.col("__cnt_before") - F.col("__base") + F.col("__cnt"))
+               .filter(F.col("__within") >= F.col("__need"))
+               .groupBy("__i").agg(F.min("__ts").alias("cutoff")))
+    row = hits.agg(*[F.max(F.when(F.col("__i") == i, F.col("cutoff"))).alias(f"c{i}")
+                     for i in range(len(fractions))])
+    return row
+
+
 def time_split(df: DataFrame, ts_col: str, fraction: float, flag_col: str = "is_train") -> DataFrame:
     """Rows at or before the exact ``fraction`` time cut-off are training (B-07).
 

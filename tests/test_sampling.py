@@ -49,3 +49,13 @@ def test_time_split_cutoff_exact(spark):
     out = S.time_split(df, "ts", 0.35)
     train = out.filter("is_train").count()
     assert train == 35
+
+
+def test_time_cutoffs_match_single(spark):
+    import datetime as dt
+    rows = [(i, dt.datetime(2024, 1, 1 + (i * 7) % 20, i % 24)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, ts timestamp_ntz")
+    fr = (0.8, 0.35, 0.1)
+    multi = S.time_cutoffs(df, "ts", fr).first()
+    for i, f in enumerate(fr):
+        assert multi[f"c{i}"] == S.time_cutoff(df, "ts", f).first()["cutoff"]

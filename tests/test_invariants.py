@@ -58,3 +58,11 @@ def test_als_topn_lists_ordered(spark):
                                        F.count_distinct("item_id").alias("d"))
                .filter((F.col("n") > 10) | (F.col("n") != F.col("d"))).count())
     assert bad == 0
+
+
+def test_freq_items_superset_of_frequent_hosts(spark):
+    items = set(queries()["freq_items"](spark, SMALL).first()["host_freqItems"])
+    hosts = parsed_log(spark, SMALL).groupBy("host").count()
+    total = hosts.agg(F.sum("count")).first()[0]
+    frequent = {r["host"] for r in hosts.filter(F.col("count") > 0.01 * total).collect()}
+    assert frequent and frequent <= items

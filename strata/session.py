@@ -37,21 +37,27 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a local one only if unset.
+    """The session's shared folder (``spark.checkpoint.dir``).
 
-    On a cluster ``spark.checkpoint.dir`` names a shared file system; we
-    never replace it.  Only when nothing is configured (tests on one machine)
-    do we create a scratch folder of our own.
+    Only a single-machine session (master ``local[...]``) without the setting
+    gets a scratch folder of its own, as in tests.  On a cluster the setting
+    must name a folder that all executors share; without it this raises,
+    because a machine-local folder would lose what other executors wrote.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # sessions without a SparkContext (Spark Connect)
-        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strata-ckpt-")
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -63,12 +69,22 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/strata-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
+    """``df`` written as Parquet in the shared folder and read back, and its path."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Used before iterative fits: later jobs (and a lost executor's retries)
     start from the written table instead of the whole lineage.  Parquet is
-    columnar and keeps ML column metadata; never a local checkpoint.
+    columnar and keeps ML column metadata; never a local checkpoint.  The
+    table must outlive the returned plan, so it stays until the application's
+    shared folder is cleared; loops that replace a table call ``discard``.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
@@ -76,6 +92,12 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table written by ``written`` that no later plan reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def shuffle_width(spark: SparkSession, default: int = 200) -> int:
     """Current shuffle partition count, used to size salts."""
     try:

@@ -31,7 +31,7 @@ PER_LANGUAGE, MOST_LANGUAGES = 1200, 64
 DIMENSIONS = 1 << 12
 UNKNOWN = "und"
 #: Score below which the pipeline stage rejects a document.
-REJECT_BELOW = 0.3
+REJECT_BELOW = 0.2
 
 # Language codes by family (ISO 639-1).
 FAMILIES = {

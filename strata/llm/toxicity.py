@@ -30,7 +30,10 @@ from ..session import cut_lineage
 from .quality import pool_adjacent
 from .textscan import LETTER, LOWER, Words, crc_class, map_texts, share_of, text_buffer
 
-SAMPLE, VOTERS, FEATURES = 9_000, 160, 1_024
+SAMPLE, VOTERS, FEATURES = 9_000, 160, 256
+#: A mined word or stem occurs in LEAST toxic documents, and PURE of its documents are
+#: toxic; of the CANDIDATES most frequent ones, those that explain more become voters.
+LEAST, PURE, CANDIDATES = 4, 0.9, 2_000
 ACCEPT = 0.3
 #: Word stems are the first so many bytes of a word.
 STEMS = (4, 6, 8)
@@ -126,28 +129,31 @@ def _look_up(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
 def label_model(votes: np.ndarray, prior: float, steps: int = 40) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of the toxic class for each row of 0/1 votes, and each voter's share.
 
-    A latent class of the given prior explains the votes; a voter fires with
-    one rate in each class.  After a first fit, the correlations of the voters
-    within the classes give every voter the weight 1 / (1 + sum of its positive
-    correlations), and the fit is repeated with these weights.
+    A latent class of the given prior explains the votes.  A voter fires with
+    one rate in each class and otherwise abstains; one more voter, for the
+    clean class, fires where all others abstain.  After a first fit, the
+    correlations of the voters within the classes give every voter the weight
+    1 / (1 + mean positive correlation with the others that fire with it), and
+    the fit is repeated with these weights.
     """
-    n, m = votes.shape
-    share = np.ones(m)
-    posterior = np.where(votes.sum(axis=1) > 0, 0.9, prior / 4)
+    silent = votes.sum(axis=1) == 0
+    posterior = np.where(silent, prior / 4, 0.9)
+    share = np.ones(votes.shape[1])
     for _ in range(2):
         for _ in range(steps):
-            a = (posterior @ votes + 0.5) / (posterior.sum() + 2)
-            b = ((1 - posterior) @ votes + 0.01) / ((1 - posterior).sum() + 2)
-            a = np.maximum(a, 2 * b)  # a voter votes for toxic, never against
-            fired = share * (np.log(a) - np.log(b))
-            silent = share * (np.log1p(-np.minimum(a, 0.999)) - np.log1p(-np.minimum(b, 0.999)))
-            z = votes @ (fired - silent) + silent.sum() + np.log(prior / (1 - prior))
+            toxic, clean = posterior.sum() + 2, (1 - posterior).sum() + 2
+            a = (posterior @ votes + 0.5) / toxic
+            b = ((1 - posterior) @ votes + 0.01) / clean
+            a = np.maximum(a, 2 * b)  # these voters vote for toxic, never against
+            quiet = np.log((posterior[silent].sum() + 0.5) / toxic) \
+                - np.log(((1 - posterior)[silent].sum() + 0.5) / clean)
+            z = np.log(prior / (1 - prior)) + votes @ (share * np.log(a / b)) + silent * min(quiet, 0.0)
             posterior = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
         rest = votes - (posterior[:, None] * a + (1 - posterior)[:, None] * b)
         size = np.maximum(np.sqrt((rest ** 2).mean(axis=0)), 1e-6)
-        together = (rest.T @ rest) / n / np.outer(size, size)
+        together = np.maximum((rest.T @ rest) / len(votes) / np.outer(size, size), 0)
         np.fill_diagonal(together, 0)
-        share = 1 / (1 + np.maximum(together, 0).sum(axis=1))
+        share = 1 / (1 + together.sum(axis=1) / np.maximum(1, (together > 0.1).sum(axis=1)))
     return posterior, share
 
 
@@ -166,6 +172,21 @@ def _logistic(x: np.ndarray, p: np.ndarray, penalty: float = 2e-4, steps: int =
     return w[:d], float(w[d])
 
 
+def _cover(has: np.ndarray, toxic: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Candidates (columns of ``has``) that explain toxic rows which no known word and no
+    better candidate explains: a word that only goes along with another one adds none."""
+    open_rows = (toxic > 0) & ~known.any(axis=1)
+    chosen: list[int] = []
+    while has.shape[1] and len(chosen) < VOTERS:
+        adds = open_rows.astype(np.float32) @ has
+        best = int(adds.argmax())
+        if adds[best] < LEAST:
+            break
+        chosen.append(best)
+        open_rows &= has[:, best] == 0
+    return np.array(sorted(chosen), np.int64)
+
+
 def _dense(rows: list[np.ndarray], table: np.ndarray) -> np.ndarray:
     """0/1 matrix: which of the table's features each row has."""
     out = np.zeros((len(rows), len(table)), np.float32)
@@ -187,20 +208,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityMod
     rows = cut_lineage(map_texts(some, _sample_rows, "toxic int, mark long, features array<long>")
                        .dropDuplicates(["mark"]), "toxicity-sample")
 
-    def counted(toxic: str):
-        return rows.select(toxic, F.explode("features").alias("f")).groupBy("f").agg(
-            F.sum(toxic).alias("bad"), F.count("*").alias("n"))
-
     # stems and words that are nearly always in toxic documents
-    mined = (counted("toxic").where((F.col("bad") >= 4) & (F.col("bad") >= 0.8 * F.col("n")))
-             .orderBy(F.desc("bad"), "f").limit(VOTERS).collect())
+    candidates = (rows.select("toxic", F.explode("features").alias("f")).groupBy("f")
+                  .agg(F.sum("toxic").alias("bad"), F.count("*").alias("n"))
+                  .where((F.col("bad") >= LEAST) & (F.col("bad") >= PURE * F.col("n")))
+                  .orderBy(F.desc("bad"), "f").limit(CANDIDATES).collect())
     table = rows.toArrow()
     toxic = table.column("toxic").to_numpy().astype(float)
     lists = table.column("features").combine_chunks()
     at, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy().view(np.uint64)
     own = [flat[a:b] for a, b in zip(at[:-1], at[1:])]
     insults = _insult_features()
-    voters = np.unique(np.concatenate([insults, np.array([r["f"] for r in mined], np.int64).view(np.uint64)]))
+    mined = np.unique(np.array([r["f"] for r in candidates], np.int64).view(np.uint64))
+    voters = np.unique(np.concatenate([insults, mined[_cover(_dense(own, mined), toxic, _dense(own, insults))]]))
     votes = _dense(own, voters)
     said = _dense(own, insults).sum(axis=1)
     patterns = np.stack([said >= 2, said >= 4, votes.sum(axis=1) >= 3], axis=1).astype(np.float32)
@@ -214,7 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityMod
     base = posterior.mean()
     gap = np.abs(bad - n * base) / np.sqrt(n * base * (1 - base) + 1e-9)
     best = np.argsort(-np.where(n >= 3, gap, 0), kind="stable")[:FEATURES]
-    model = ToxicityModel(np.unique(np.concatenate([features[best], insults])))
+    model = ToxicityModel(np.unique(np.concatenate([features[best], voters])))
     x = _dense(own, model.features)
     model.weights, model.bias = _logistic(x, posterior)
     raw = x @ model.weights + model.bias

@@ -16,11 +16,10 @@ HOST_PATTERN = r"^(.*) - -.*"
 TIMESTAMP_PATTERN = r".* - - \[(.*)\].*"
 REQUEST_PATTERN = r'.*"(.*)".*'
 # Day of month and hour inside the timestamp text
-# ``dd/MMM/yyyy:HH:mm:ss Z``.
+# ``dd/MMM/yyyy:HH:mm:ss Z`` (local log time; the zone's offset has either sign).
 DAY_PATTERN = r"^(.*)/.*/.*"
-HOUR_PATTERN = r".*:(.*):.*:.* -.*"
-# Timestamp text format and the region suffixes of the report.
-LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
+HOUR_PATTERN = r".*:(.*):.*:.* [-+].*"
+# The region suffixes of the report.
 DEFAULT_REGIONS = {"de": "Germany", "ca": "Canada", "sg": "Singapore"}
 
 
@@ -46,12 +45,7 @@ def reply_code(tokens: Column) -> Column:
 
 
 def reply_bytes(tokens: Column) -> Column:
-    return token_from_end(tokens, 1).try_cast("int")
-
-
-def event_time(ts_text: Column) -> Column:
-    """Real timestamp from the log text; null on malformed text."""
-    return F.try_to_timestamp(ts_text, F.lit(LOG_TIME_FORMAT))
+    return token_from_end(tokens, 1).try_cast("long")
 
 
 def day_of_log(ts_text: Column) -> Column:

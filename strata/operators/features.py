@@ -37,21 +37,26 @@ def log_target(c: Column, floor: float = LOG_FLOOR) -> Column:
     return F.log(floored(c, floor))
 
 
-def indexer(cols: Sequence[str], suffix: str = "_idx", order: str = "frequencyDesc") -> StringIndexer:
-    """Category → index by descending frequency, ties alphabetical (E-01)."""
+def indexer(cols: Sequence[str], suffix: str = "_idx", order: str = "frequencyDesc",
+            invalid: str = "error") -> StringIndexer:
+    """Category → index by descending frequency, ties alphabetical (E-01).
+
+    A null or unseen category is an error by default; ``invalid="skip"``
+    drops its row, ``"keep"`` adds one level (and one-hot slot) for it.
+    """
     return StringIndexer(inputCols=list(cols), outputCols=[c + suffix for c in cols],
-                         stringOrderType=order, handleInvalid="keep")
+                         stringOrderType=order, handleInvalid=invalid)
 
 
 def one_hot(cols: Sequence[str], suffix: str = "_vec", drop_last: bool = True) -> OneHotEncoder:
-    """One-hot encode index columns, last level dropped (E-02), in one stage."""
+    """One-hot encode index columns: n - 1 slots for n levels, the last one dropped (E-02)."""
     return OneHotEncoder(inputCols=list(cols), outputCols=[c + suffix for c in cols],
-                         dropLast=drop_last, handleInvalid="keep")
+                         dropLast=drop_last, handleInvalid="error")
 
 
-def assembler(cols: Sequence[str], out: str = "features") -> VectorAssembler:
-    """Numbers and vectors → one vector column (E-03, V-01 .. V-03)."""
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep")
+def assembler(cols: Sequence[str], out: str = "features", invalid: str = "error") -> VectorAssembler:
+    """Numbers and vectors → one vector column (E-03, V-01 .. V-03); nulls are an error."""
+    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid=invalid)
 
 
 def scaler(in_col: str, out_col: str, with_mean: bool = True, with_std: bool = True) -> StandardScaler:

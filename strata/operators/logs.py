@@ -105,8 +105,10 @@ def day_hour_pivot(day_hour: DataFrame, days: list[str] | None = None) -> DataFr
     """Hour × day table of visit counts (G-11); missing cells are null.
 
     The day values are given up front, so the pivot needs no extra job to
-    discover them and the output schema is fixed.
+    discover them and the output schema is fixed.  Visits of any other day
+    text are counted in the column ``other``.
     """
     days = days or DAYS
-    return (day_hour.groupBy("region", "host", "hour").pivot("day", days)
+    known = F.when(F.col("day").isin(days), F.col("day")).otherwise(F.lit("other"))
+    return (day_hour.withColumn("day", known).groupBy("region", "host", "hour").pivot("day", [*days, "other"])
             .agg(F.sum("n").cast("long")))

@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_width
+from ..session import cut_lineage, shuffle_width
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -57,12 +57,15 @@ def ordered_prefix_sums(df: DataFrame, order_col: str, value_cols: list[str],
                         partitions: int | None = None) -> DataFrame:
     """Exclusive running sums of ``value_cols`` in ``order_col`` order, distributed.
 
-    Rows are range-partitioned on ``order_col``; each partition sums locally
-    and a table of per-partition totals (one row per partition) supplies the
-    offsets.  ``order_col`` values must be distinct.
+    Rows are range-partitioned on ``order_col`` and written once with their
+    partition number: range bounds are sampled, so two reads of the plan would
+    cut the rows in two ways.  From the written table each partition sums
+    locally, and a table of per-partition totals (one row per partition)
+    supplies the offsets.  ``order_col`` values must be distinct.
     """
     n = partitions or shuffle_width(df.sparkSession)
-    ranged = df.repartitionByRange(n, order_col).withColumn("__pid", F.spark_partition_id())
+    ranged = cut_lineage(df.repartitionByRange(n, order_col)
+                         .withColumn("__pid", F.spark_partition_id()), "ranged")
     w = Window.partitionBy("__pid").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumns({f"{c}_before": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in value_cols})
     totals = ranged.groupBy("__pid").agg(*[F.sum(c).alias(f"__t_{c}") for c in value_cols])
@@ -75,16 +78,26 @@ def ordered_prefix_sums(df: DataFrame, order_col: str, value_cols: list[str],
                                      for c in value_cols])
 
 
-def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
-    """One row: exact area under the ROC curve of ``score`` for binary ``label``."""
-    per_score = df.groupBy(F.col(score).cast("double").alias("score")).agg(
+def roc_auc(df: DataFrame, label: str, score: str, by: str | None = None) -> DataFrame:
+    """Exact area under the ROC curve of ``score`` for binary ``label``: one row (auc).
+
+    With ``by`` (a column without nulls), one row (by, auc) for each of its
+    values, all from one prefix sum in (by, score) order.
+    """
+    group = F.lit(0) if by is None else F.col(by)
+    per_score = df.groupBy(group.alias("__by"), F.col(score).cast("double").alias("score")).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("pos"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("long").alias("neg"))
-    cum = ordered_prefix_sums(per_score, "score", ["neg"])
-    wins = F.col("pos").cast("double") * (F.col("neg_before").cast("double") + F.col("neg") * 0.5)
+    cum = ordered_prefix_sums(per_score.withColumn("__k", F.struct("__by", "score")), "__k", ["neg"])
+    # negatives of earlier groups come first in (by, score) order
+    base = cum.groupBy("__by").agg(F.min("neg_before").alias("__base"))
+    wins = F.col("pos").cast("double") * ((F.col("neg_before") - F.col("__base")).cast("double") + F.col("neg") * 0.5)
     # null when only one class is present (no pairs to rank)
-    return cum.agg(F.try_divide(F.sum(wins), F.sum("pos").cast("double") * F.sum("neg").cast("double"))
-                   .alias("auc"))
+    area = F.try_divide(F.sum(wins), F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc")
+    joined = cum.join(F.broadcast(base), "__by")  # one row per value of ``by`` (models, say)
+    if by is None:
+        return joined.agg(area)
+    return joined.groupBy("__by").agg(area).withColumnRenamed("__by", by)
 
 
 def positive_score(prob_col: str = "probability") -> Column:

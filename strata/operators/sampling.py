@@ -4,8 +4,8 @@
 gives other rows after a repartition.  The hash-based operators here depend
 only on each row's key and the seed, so they are repeatable on any cluster
 layout.  The exact operators (stratified split, time split) find their
-cut points from small histograms and rank rows only inside one boundary
-bucket, so no task ever holds a whole stratum, however skewed.
+cut points from small histograms and rank rows only inside one small
+boundary bucket, so no task ever holds a whole stratum, however skewed.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import int_div
+from ..session import cut_lineage
 
-HASH_BUCKETS = 10_000
 _FRACTION_UNIT = 1_000_000
 
 
@@ -36,21 +36,19 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int | None = None) ->
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
-MAX_STRATA = 10_000
-
-
 def stratified_sample(df: DataFrame, label_col: str, fractions, seed: int | None = None) -> DataFrame:
-    """Per-label Bernoulli sample (B-04, B-05): ``sampleBy``.
+    """Per-label Bernoulli sample (B-04, B-05).
 
-    ``fractions`` is a dict or a (label, fraction) DataFrame (B-06); the
-    latter has one row per stratum and is fetched under a size bound.
+    ``fractions`` is a dict (``sampleBy``) or a (label, fraction) DataFrame
+    (B-06), which is joined: it never comes to the driver.  Labels without a
+    fraction are left out.
     """
-    if isinstance(fractions, DataFrame):
-        rows = fractions.select(label_col, "fraction").limit(MAX_STRATA + 1).collect()
-        if len(rows) > MAX_STRATA:
-            raise ValueError(f"more than {MAX_STRATA} strata")
-        fractions = {r[0]: float(r[1]) for r in rows}
-    return df.sampleBy(label_col, fractions, seed)
+    if not isinstance(fractions, DataFrame):
+        return df.sampleBy(label_col, fractions, seed)
+    table = _per_label(fractions.select(F.col(label_col).alias("__of"), F.col("fraction").alias("__share")))
+    draw = F.rand(seed) if seed is not None else F.rand()
+    return (df.withColumn("__draw", draw).join(table, F.col(label_col).eqNullSafe(F.col("__of")))
+              .filter(F.col("__draw") < F.col("__share")).drop("__of", "__share", "__draw"))
 
 
 def constant_fractions(df: DataFrame, label_col: str, fraction: float) -> DataFrame:
@@ -66,52 +64,96 @@ def hash_split(df: DataFrame, key_cols: Sequence[str], weights: Sequence[float],
     a row's part never changes with partitioning or cluster size.
     """
     total = float(sum(weights))
-    bucket = F.pmod(key_hash(key_cols, seed), F.lit(HASH_BUCKETS))
-    edges, acc = [], 0.0
-    for w in weights[:-1]:
-        acc += w / total
-        edges.append(int(round(acc * HASH_BUCKETS)))
+    h, expr, acc = key_hash(key_cols, seed), F.lit(len(weights) - 1), total
+    for i in reversed(range(len(weights) - 1)):
+        acc -= weights[i + 1]
+        edge = int(acc / total * 2 ** 64) - 2 ** 63  # on the whole 64-bit hash: no rounding to buckets
+        expr = F.when(h < F.lit(max(-2 ** 63, min(2 ** 63 - 1, edge))), F.lit(i)).otherwise(expr)
+    return df.withColumn(part_col, expr.cast("int"))
+
+
+def md5_split(df: DataFrame, key_cols: Sequence[str], weights: Sequence[float], seed: int = 0,
+              part_col: str = "part") -> DataFrame:
+    """As ``hash_split``, by the md5 of ``seed|key|...`` text, which other engines have too."""
+    total = float(sum(weights))
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols])
+    share = F.substring(F.md5(text.cast("binary")), 1, 8)
     expr = F.lit(len(weights) - 1)
-    for i in reversed(range(len(edges))):
-        expr = F.when(bucket < edges[i], F.lit(i)).otherwise(expr)
+    for i in reversed(range(len(weights) - 1)):
+        edge = md5_edge(sum(weights[:i + 1]) / total)
+        expr = F.when(share < F.lit(edge), F.lit(i)).otherwise(expr)
     return df.withColumn(part_col, expr.cast("int"))
 
 
+def md5_edge(share: float) -> str:
+    """The first eight hex digits below which the given share of all md5 sums lies."""
+    return f"{int(share * 2 ** 32):08x}" if share < 1 else "g"
+
+
 def _target(n: Column, fraction: float) -> Column:
     """round-half-up(fraction * n) in integer arithmetic."""
     num = int(round(fraction * _FRACTION_UNIT))
     return int_div(n * F.lit(2 * num) + F.lit(_FRACTION_UNIT), F.lit(2 * _FRACTION_UNIT))
 
 
+LEVEL_BITS = 14  # buckets of one level: 2^14 of a label's rows, and as many of a bucket's
+BROADCAST_LABELS = 100_000
+
+
+def _per_label(table: DataFrame) -> DataFrame:
+    """A table of one row per label: broadcast while it is small, joined by a shuffle beyond."""
+    return F.broadcast(table) if table.count() <= BROADCAST_LABELS else table
+
+
+def _boundary(hist: DataFrame, target: Column) -> DataFrame:
+    """Per label, the bucket in which the target-th row lies and the rows still needed from it."""
+    w = Window.partitionBy("__label").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+    cum = hist.withColumn("__cum", F.sum("__cnt").over(w)).withColumn("__target", target)
+    return (cum.filter((F.col("__cum") >= F.col("__target")) & (F.col("__cum") - F.col("__cnt") < F.col("__target")))
+               .select("__label", F.col("__b").alias("__edge"),
+                       (F.col("__target") - (F.col("__cum") - F.col("__cnt"))).alias("__need")))
+
+
 def stratified_split(df: DataFrame, label_col: str, key_cols: Sequence[str], fraction: float,
-                     seed: int = 0, flag_col: str = "is_train",
-                     buckets: int = HASH_BUCKETS) -> DataFrame:
+                     seed: int = 0, flag_col: str = "is_train") -> DataFrame:
     """Disjoint train/test split with exactly round(fraction·n) train rows per label (B-08).
 
-    Rows are ordered inside each label by (hash bucket, hash, key).  A
-    histogram of (label, bucket) counts — at most labels × buckets rows —
-    locates the boundary bucket; only rows of that one bucket are ranked.
+    Rows are ordered inside each label by (hash, key).  Two levels of
+    histograms over (label, leading hash bits) locate a bucket with about
+    1/2^28 of a label's rows; only those are ranked, to find each label's
+    last training row.  All this reads the label and the keys alone; the
+    whole rows are then flagged against the cut of their label, in one pass
+    and without a shuffle by label.  Null labels are a label of their own.
+    Rows that repeat a key are flagged alike.
     """
-    h = key_hash(key_cols, seed)
-    rows = df.withColumn("__h", h).withColumn("__b", F.pmod(F.col("__h"), F.lit(buckets)))
-    hist = rows.groupBy(label_col, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
-    w = Window.partitionBy(label_col).orderBy("__b")
-    hist = (hist.withColumn("__cum", F.sum("__cnt").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                .withColumn("__n", F.sum("__cnt").over(Window.partitionBy(label_col)))
-                .withColumn("__target", _target(F.col("__n"), fraction))
-                .filter((F.col("__cum") >= F.col("__target")) & (F.col("__cum") - F.col("__cnt") < F.col("__target")))
-                .select(label_col, F.col("__b").alias("__edge"),
-                        (F.col("__target") - (F.col("__cum") - F.col("__cnt"))).alias("__need")))
-    # one row per label (the boundary bucket); labels with target 0 have none.
-    rows = rows.join(hist, label_col, "left")
-    at_edge = F.col("__b") == F.col("__edge")
-    # Only the boundary bucket (about 1/buckets of a stratum) is ranked.
-    inside = Window.partitionBy(label_col, "__b").orderBy("__h", *key_cols)
-    edge = (rows.filter(at_edge)
-                .withColumn(flag_col, F.row_number().over(inside) <= F.col("__need")))
-    rest = (rows.filter(~F.coalesce(at_edge, F.lit(False)))
-                .withColumn(flag_col, F.coalesce(F.col("__b") < F.col("__edge"), F.lit(False))))
-    return rest.unionByName(edge).drop("__h", "__b", "__edge", "__need")
+    names = [f"__k{i}" for i in range(len(key_cols))]
+    narrow = df.select(F.col(label_col).alias("__label"), key_hash(key_cols, seed).alias("__h"),
+                       *[F.col(k).alias(n) for k, n in zip(key_cols, names)])
+
+    def bucket(bits: int) -> Column:
+        return F.shiftright(F.col("__h"), 64 - bits)
+
+    hist = narrow.groupBy("__label", bucket(LEVEL_BITS).alias("__b")).agg(F.count(F.lit(1)).alias("__cnt"))
+    whole = Window.partitionBy("__label")
+    edges = cut_lineage(_boundary(hist.withColumn("__n", F.sum("__cnt").over(whole)),
+                                  _target(F.col("__n"), fraction)), "split-edges")
+    for bits in (LEVEL_BITS, 2 * LEVEL_BITS):
+        edge = _per_label(edges.withColumnRenamed("__label", "__of"))
+        narrow = (narrow.drop("__edge", "__need")
+                  .join(edge, F.col("__label").eqNullSafe(F.col("__of")) & (bucket(bits) == F.col("__edge")))
+                  .drop("__of"))
+        if bits == LEVEL_BITS:
+            hist = (narrow.groupBy("__label", "__need", bucket(2 * bits).alias("__b"))
+                    .agg(F.count(F.lit(1)).alias("__cnt")))
+            edges = cut_lineage(_boundary(hist, F.col("__need")), "split-edges")
+    last = Window.partitionBy("__label").orderBy("__h", *names)
+    cuts = cut_lineage(narrow.withColumn("__r", F.row_number().over(last)).filter(F.col("__r") == F.col("__need"))
+                       .select(F.col("__label").alias("__of"), F.col("__h").alias("__cut"),
+                               F.struct(*names).alias("__keys")), "split-cuts")
+    h, keys = key_hash(key_cols, seed), F.struct(*[F.col(k).alias(n) for k, n in zip(key_cols, names)])
+    flag = (h < F.col("__cut")) | ((h == F.col("__cut")) & (keys <= F.col("__keys")))
+    return (df.join(_per_label(cuts), F.col(label_col).eqNullSafe(F.col("__of")), "left")
+              .withColumn(flag_col, F.coalesce(flag, F.lit(False))).drop("__of", "__cut", "__keys"))
 
 
 def time_cutoff(df: DataFrame, ts_col: str, fraction: float) -> DataFrame:

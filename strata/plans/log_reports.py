@@ -114,7 +114,7 @@ parsed AS (
     regexp_extract(value, '{lf.TIMESTAMP_PATTERN}', 1) AS timestamp,
     regexp_extract(value, '{lf.REQUEST_PATTERN}', 1) AS request,
     TRY_CAST(string_split(value, ' ')[-2] AS INTEGER) AS reply_code,
-    TRY_CAST(string_split(value, ' ')[-1] AS INTEGER) AS reply_bytes
+    TRY_CAST(string_split(value, ' ')[-1] AS BIGINT) AS reply_bytes
   FROM lines),
 regioned AS (
   SELECT *, {_region_case('host')} AS region FROM parsed),
@@ -181,7 +181,8 @@ SELECT region, host, day, hour, n FROM day_hour"""
 
 S_LOG_DAY_HOUR_PIVOT = f"""WITH {DAY_HOUR_SQL}
 SELECT region, host, hour,
-  {", ".join(f"CAST(sum(CASE WHEN day = '{d}' THEN n END) AS BIGINT) AS \"{d}\"" for d in logs.DAYS)}
+  {", ".join(f"CAST(sum(CASE WHEN day = '{d}' THEN n END) AS BIGINT) AS \"{d}\"" for d in logs.DAYS)},
+  CAST(sum(CASE WHEN day IN ({", ".join(f"'{d}'" for d in logs.DAYS)}) THEN NULL ELSE n END) AS BIGINT) AS other
 FROM day_hour GROUP BY region, host, hour"""
 
 S_LOG_MALFORMED = f"""WITH {PARSED_SQL}

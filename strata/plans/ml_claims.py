@@ -61,14 +61,16 @@ def _prepared(spark, sf_dir):
 
     The joined claims table is written once to the shared folder; the
     indexer → one-hot → scaler chain is fitted on its training rows only
-    (D-06), and every fit below reads the written table, not the joins.
+    (D-06), and its features are written too: every fit and every scoring
+    pass below reads the written features.
     """
     df = cut_lineage(hash_split(claims_targets(spark, sf_dir), ["policy_id"], [0.7, 0.3], seed=SEED),
                      "claims")
     train, test = df.filter("part = 0"), df.filter("part = 1")
     prep = MO.pipeline(FE.tabular_stages(CATS, NUMS)).fit(train)
-    cols = ["policy_id", "claim_nb", "log_claim", "nz_claim", "features"]
-    return prep.transform(train).select(*cols), prep.transform(test).select(*cols)
+    cols = ["policy_id", "claim_nb", "log_claim", "nz_claim", "features", "part"]
+    ready = cut_lineage(prep.transform(df).select(*cols), "claims-features")
+    return ready.filter("part = 0").drop("part"), ready.filter("part = 1").drop("part")
 
 
 def _claim_models():
@@ -94,17 +96,27 @@ def q_glm_models(spark, sf_dir, families: tuple[str, ...] = ("poisson", "linear"
     train, test = _prepared(spark, sf_dir)
     specs = [m for m in _claim_models() if m[0].split("_")[0] in families]
     fitted = TU.fit_concurrently([(est, train) for _, est, _, _ in specs])
-    out = None
+    # one long table (model, label, prediction, score) of all models, written once
+    scores = None
     for (name, _est, label, kind), model in zip(specs, fitted):
-        pred = model.transform(test)
+        score = ME.positive_score() if kind == "classification" else F.lit(None).cast("double")
+        part = model.transform(test).select(F.lit(name).alias("model"), F.col(label).cast("double").alias("label"),
+                                            "prediction", score.alias("score"))
+        scores = part if scores is None else scores.unionByName(part)
+    scores = cut_lineage(scores, "claims-scores")
+    out = None
+    for name, _est, _label, kind in specs:
+        pred = scores.filter(F.col("model") == name)
         if kind == "regression":
-            part = _long_metrics(ME.regression_metrics(pred, label, "prediction")
-                                 .select("rmse", "mse", "mae"), name)
+            part = _long_metrics(ME.regression_metrics(pred, "label", "prediction").select("rmse", "mse", "mae"), name)
         else:
-            cls = ME.classification_metrics(pred, label, "prediction").select("accuracy", "weighted_f1")
-            auc = ME.roc_auc(pred.withColumn("__s", ME.positive_score()), label, "__s")
-            part = _long_metrics(cls, name).unionByName(_long_metrics(auc, name))
+            part = _long_metrics(ME.classification_metrics(pred, "label", "prediction")
+                                 .select("accuracy", "weighted_f1"), name)
         out = part if out is None else out.unionByName(part)
+    ranked = scores.filter(F.col("score").isNotNull())
+    if any(kind == "classification" for *_, kind in specs):
+        areas = ME.roc_auc(ranked, "label", "score", by="model")
+        out = out.unionByName(areas.select("model", F.lit("auc").alias("metric"), F.col("auc").alias("value")))
     return out
 
 
@@ -262,7 +274,25 @@ SELECT metric, round(value, 9) AS value FROM (
   UNION ALL SELECT 'auc', auc FROM auc)"""
 
 
+def q_roc_auc_fine(spark, sf_dir):
+    """ROC area of a score with many distinct values: extended price against returned (Y-05)."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_extendedprice", "l_returnflag"])
+    scored = li.select((F.col("l_returnflag") == "R").cast("int").alias("label"), F.col("l_extendedprice").alias("s"))
+    return ME.roc_auc(scored, "label", "s").select(F.round("auc", 9).alias("auc"))
+
+
+S_ROC_AUC_FINE = """
+WITH ps AS (
+  SELECT l_extendedprice AS s, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS pos,
+         sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END) AS neg FROM lineitem GROUP BY 1),
+cum AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+        AS below FROM ps)
+SELECT round(sum(CAST(pos AS DOUBLE) * (CAST(below AS DOUBLE) + neg * 0.5))
+             / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)), 9) AS auc FROM cum"""
+
+
 QUERIES = {
+    "roc_auc_fine": q_roc_auc_fine,
     "claims_features": q_claims_features,
     "glm_models": q_glm_models,
     "poisson": q_poisson,
@@ -276,6 +306,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "roc_auc_fine": S_ROC_AUC_FINE,
     "claims_features": S_CLAIMS_FEATURES,
     "linreg_one_feature": S_LINREG_ONE_FEATURE,
     "metric_table": S_METRIC_TABLE,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,14 +10,11 @@ from pyspark.sql import functions as F
 from ..operators import decompose as D
 from ..operators import features as FE
 from ..operators import reshape
-from ..operators.topk import top_k_per_group
 from ..session import cut_lineage
 from ..sources.tables import read_table
 
 WIDTH = 64
 TERM_PATTERN = r"[^\p{L}]+"
-VOCAB_SMALL = 20   # terms kept for the transposed count table
-VOCAB_PCA = 200    # terms kept as paper features for the paper PCA
 
 
 def _embeddings(spark, sf_dir) -> DataFrame:
@@ -92,93 +89,79 @@ def doc_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def vocabulary(term_counts: DataFrame, size: int) -> DataFrame:
-    """(term, term_rank) of the ``size`` most frequent terms, ties by term."""
-    totals = term_counts.groupBy("term").agg(F.sum("n").alias("total"))
-    return (top_k_per_group(totals, [], [F.col("total").desc(), F.col("term").asc()], size,
-                            rank_col="term_rank")
-            .select("term", "term_rank"))
-
-
-def word_by_paper(spark: SparkSession, sf_dir: str, size: int,
-                  vocab: DataFrame | None = None) -> DataFrame:
-    """The word × paper count matrix in long form: (term, term_rank, doc_id, n)."""
-    counts = doc_terms(spark, sf_dir)
-    vocab = vocab if vocab is not None else vocabulary(counts, size)
-    # the vocabulary has ``size`` rows: a bounded broadcast.
-    return counts.join(F.broadcast(vocab), "term", "inner")
-
-
 def q_transpose_long(spark, sf_dir):
-    """Word × paper counts transposed to paper × word, long form (E-10)."""
-    wp = word_by_paper(spark, sf_dir, VOCAB_SMALL).select("term", "doc_id", "n")
-    return reshape.transpose_long(wp.withColumnRenamed("term", "row").withColumnRenamed("doc_id", "col"),
-                                  "row", "col").select(F.col("row").alias("doc_id"),
-                                                       F.col("col").alias("term"), "n")
+    """Word × paper counts transposed to paper × word, long form, every word (E-10)."""
+    wp = doc_terms(spark, sf_dir).select(F.col("term").alias("row"), F.col("doc_id").alias("col"), "n")
+    return reshape.transpose_long(wp, "row", "col").select(F.col("row").alias("doc_id"),
+                                                           F.col("col").alias("term"), "n")
 
 
 S_TRANSPOSE_LONG = f"""
 WITH terms AS (
-  SELECT doc_id, unnest(regexp_split_to_array(lower(text), '{TERM_PATTERN}')) AS term FROM documents),
-counts AS (SELECT doc_id, term, count(*) AS n FROM terms WHERE term <> '' GROUP BY 1, 2),
-vocab AS (
-  SELECT term FROM (SELECT term, sum(n) AS total FROM counts GROUP BY term)
-  ORDER BY total DESC, term ASC LIMIT {VOCAB_SMALL})
-SELECT doc_id, term, n FROM counts WHERE term IN (SELECT term FROM vocab)"""
+  SELECT doc_id, unnest(regexp_split_to_array(lower(text), '{TERM_PATTERN}')) AS term FROM documents)
+SELECT doc_id, term, count(*) AS n FROM terms WHERE term <> '' GROUP BY 1, 2"""
 
 
-def paper_vectors(wp: DataFrame, size: int) -> DataFrame:
-    """(doc_id, features): each paper's counts over the vocabulary as a dense vector.
+def _paper_pca(spark, sf_dir) -> tuple[DataFrame, list[float]]:
+    """Components of the standardised paper × word matrix: every paper and every word.
 
-    ``wp`` is the word × paper table of :func:`word_by_paper`.  Each row has
-    exactly ``size`` slots, so the per-paper collect is bounded.
+    The matrix stays a long table of its non-zero counts, written once; a
+    paper without words counts as a row of zeros.
     """
-    entries = F.map_from_entries(F.collect_list(F.struct((F.col("term_rank") - 1).cast("int"),
-                                                         F.col("n").cast("double"))))
-    per_doc = wp.groupBy("doc_id").agg(entries.alias("m"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(size - 1)),
-                        lambda i: F.coalesce(F.element_at(F.col("m"), i), F.lit(0.0)))
-    return per_doc.select("doc_id", array_to_vector(dense).alias("features"))
-
-
-def _paper_pca(spark, sf_dir):
-    """PCA of the standardised paper × word matrix (centred, so equal to its SVD).
-
-    Texts are tokenised once: the vocabulary-restricted word × paper table
-    is written to the shared folder, and the vocabulary and the paper
-    vectors (also written, for the scaler and PCA passes) come from it.
-    """
-    wp = cut_lineage(word_by_paper(spark, sf_dir, VOCAB_PCA), "word-paper")
-    vocab = wp.select("term", "term_rank").distinct()
-    vecs = cut_lineage(paper_vectors(wp, VOCAB_PCA), "paper-vectors")
-    std = FE.scaler("features", "z").fit(vecs).transform(vecs).select("doc_id", F.col("z").alias("features"))
-    return D.pca(std, 2), vocab
+    papers = read_table(spark, sf_dir, "documents", ["doc_id"]).distinct().count()
+    return D.centred_components(cut_lineage(doc_terms(spark, sf_dir), "word-paper"), papers,
+                                "doc_id", "term", "n", k=2)
 
 
 def q_paper_pca(spark, sf_dir):
     """Paper PCA: transpose → standardise → top-2 components as term loadings (J-17, A-07)."""
-    model, vocab = _paper_pca(spark, sf_dir)
-    loads = D.components_table(spark, model, [str(i + 1) for i in range(VOCAB_PCA)])
-    return (loads.withColumn("term_rank", F.col("feature").cast("long")).drop("feature")
-                 .join(vocab, "term_rank", "inner").select("term", "term_rank", "component", "loading"))
+    return _paper_pca(spark, sf_dir)[0]
 
 
 def q_paper_variance(spark, sf_dir):
     """Share of total variance explained by each paper component (A-06, D-10 fixed)."""
-    return D.variance_table(spark, _paper_pca(spark, sf_dir)[0])
+    shares = _paper_pca(spark, sf_dir)[1]
+    return spark.createDataFrame([(i + 1, s) for i, s in enumerate(shares)],
+                                 "component int, explained_variance double")
 
 
-def q_svd_eigen(spark, sf_dir):
-    """Truncated SVD (k=2, U kept) of the standardised embeddings: s, s², shares (A-05, A-06)."""
+def _standardised(spark, sf_dir) -> DataFrame:
     data = _embeddings(spark, sf_dir)
-    std = FE.scaler("features", "z").fit(data).transform(data).select(F.col("z").alias("features"))
-    res = D.svd(std, 2, compute_u=True)
+    return cut_lineage(FE.scaler("features", "z").fit(data).transform(data)
+                       .select("vec_id", F.col("z").alias("features")), "svd-input")
+
+
+def q_svd_eigen(spark, sf_dir):
+    """Truncated SVD (k=2) of the standardised embeddings: s, s², shares (A-05, A-06)."""
+    std = _standardised(spark, sf_dir)
+    res = D.svd(std, 2)
     # total variance = sum of column variances: one distributed aggregate.
     stats = std.select(Summarizer.metrics("variance", "count").summary(F.col("features")).alias("s")).first()["s"]
     return D.eigen_table(spark, res.s, float(sum(stats["variance"].toArray())), int(stats["count"]))
 
 
+def q_svd_u(spark, sf_dir):
+    """Left singular vectors of the standardised embeddings, per vector and component (A-05)."""
+    std = _standardised(spark, sf_dir)
+    return D.left_vectors(std, D.svd(std, 2), "vec_id")
+
+
+def q_svd_v(spark, sf_dir):
+    """Right singular vectors of the standardised embeddings, per dimension and component (A-05)."""
+    return D.right_vectors(spark, D.svd(_standardised(spark, sf_dir), 2))
+
+
+def q_principal_components(spark, sf_dir):
+    """Top-2 principal components of the embedding row matrix (A-03)."""
+    pc = D.principal_components(_embeddings(spark, sf_dir), 2).toArray()
+    return spark.createDataFrame([(i, j + 1, float(pc[i, j])) for i in range(pc.shape[0]) for j in range(pc.shape[1])],
+                                 "dim int, component int, loading double")
+
+
 QUERIES = {
+    "svd_u": q_svd_u,
+    "svd_v": q_svd_v,
+    "principal_components": q_principal_components,
     "pca_components": q_pca_components,
     "pca_variance": q_pca_variance,
     "pca_project": q_pca_project,

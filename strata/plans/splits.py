@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import sampling as S
+from ..sources.tables import read_table
 from . import fixtures as fx
 
 # 70/30 split, 0.8 time fraction and seed 37 of the reference jobs.
 TRAIN_FRACTION = 0.7
 TIME_FRACTION = 0.8
 SEED = 37
+CUT_FRACTIONS = (0.1, 0.35, 0.8)
+MD5_WEIGHTS = [0.7, 0.2, 0.1]
 
 
 def q_split_time(spark, sf_dir):
@@ -81,7 +84,39 @@ def q_sample_bernoulli(spark, sf_dir):
         F.count(F.lit(1)).alias("n"))
 
 
+def q_event_cutoffs(spark, sf_dir):
+    """Exact time cut-offs of the events at several fractions, microsecond stamps (B-07)."""
+    events = read_table(spark, sf_dir, "events", ["ts"])
+    row = S.time_cutoffs(events, "ts", CUT_FRACTIONS)
+    return row.select(*[F.date_format(f"c{i}", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(f"c{i}")
+                        for i in range(len(CUT_FRACTIONS))])
+
+
+def _cut(f: float) -> str:
+    return f"""(SELECT strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') FROM (
+    SELECT ts, sum(count(*)) OVER (ORDER BY ts) AS cum FROM events GROUP BY ts)
+  WHERE cum >= greatest(((SELECT count(*) FROM events) * {2 * int(round(f * 1e6))} + 1000000) // 2000000, 1))"""
+
+
+S_EVENT_CUTOFFS = "SELECT " + ", ".join(f"{_cut(f)} AS c{i}" for i, f in enumerate(CUT_FRACTIONS))
+
+
+def q_split_md5(spark, sf_dir):
+    """Key-hash 0.7/0.2/0.1 split of the orders by md5, the same in any engine (B-01)."""
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey"])
+    return S.md5_split(orders, ["o_orderkey"], MD5_WEIGHTS, seed=SEED)
+
+
+_EDGES = [S.md5_edge(sum(MD5_WEIGHTS[:i]) / sum(MD5_WEIGHTS)) for i in (1, 2)]
+S_SPLIT_MD5 = f"""SELECT o_orderkey, CASE
+  WHEN substr(md5('{SEED}|' || CAST(o_orderkey AS VARCHAR)), 1, 8) < '{_EDGES[0]}' THEN 0
+  WHEN substr(md5('{SEED}|' || CAST(o_orderkey AS VARCHAR)), 1, 8) < '{_EDGES[1]}' THEN 1
+  ELSE 2 END AS part FROM orders"""
+
+
 QUERIES = {
+    "event_cutoffs": q_event_cutoffs,
+    "split_md5": q_split_md5,
     "split_time": q_split_time,
     "split_stratified": q_split_stratified,
     "split_hash": q_split_hash,
@@ -91,6 +126,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "event_cutoffs": S_EVENT_CUTOFFS,
+    "split_md5": S_SPLIT_MD5,
     "split_time": S_SPLIT_TIME,
     "split_stratified": S_SPLIT_STRATIFIED,
 }

@@ -155,7 +155,10 @@ def plain_matches(docs, items):
             w = min(decontaminate.WINDOW, len(b))
             if w < decontaminate.SHORTEST:
                 continue
-            for x in range(len(a) - w + 1):
+            known = set(b)
+            sums = list(itertools.accumulate((t in known for t in a), initial=0))
+            need = w - decontaminate.tolerated(w)
+            for x in (x for x in range(len(a) - w + 1) if sums[x + w] - sums[x] >= need):
                 if any(sum(p == q for p, q in zip(a[x:x + w], b[y:y + w])) >= w - decontaminate.tolerated(w)
                        for y in range(len(b) - w + 1)):
                     out.add((d, i))

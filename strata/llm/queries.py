@@ -76,10 +76,10 @@ shingles AS (
     THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
     ELSE [array_to_string(w, ' ')] END) AS s FROM words WHERE len(w) > 0),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
-shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM shingles x JOIN shingles y USING (s)
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both FROM shingles x JOIN shingles y USING (s)
   WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
 links AS (SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
-  WHERE 100 * both >= 75 * (p.n + q.n - both)),
+  WHERE 100 * n_both >= 75 * (p.n + q.n - n_both)),
 reach AS (SELECT a AS node, a AS seen FROM links
   UNION SELECT links.b, reach.seen FROM reach JOIN links ON links.a = reach.node),
 named AS (SELECT d.doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles,

@@ -90,6 +90,27 @@ def md5_edge(share: float) -> str:
     return f"{int(share * 2 ** 32):08x}" if share < 1 else "g"
 
 
+def md5_share(key_cols: Sequence[str], seed: int = 0) -> Column:
+    """A number below 2^32 from the md5 of ``seed|key|...``, the same in any engine."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+
+
+def md5_sample(df: DataFrame, key_cols: Sequence[str], fractions, label_col: str | None = None,
+               seed: int = 0) -> DataFrame:
+    """Bernoulli sample by key (B-02 .. B-06): a row's fate depends on its key alone.
+
+    ``fractions`` is a number, or a (label, fraction) DataFrame that is joined
+    on ``label_col``; labels without a fraction are left out.
+    """
+    share = md5_share(key_cols, seed)
+    if not isinstance(fractions, DataFrame):
+        return df.filter(share < F.lit(int(fractions * 2 ** 32)))
+    table = _per_label(fractions.select(F.col(label_col).alias("__of"), F.col("fraction").alias("__share")))
+    return (df.withColumn("__draw", share).join(table, F.col(label_col).eqNullSafe(F.col("__of")))
+              .filter(F.col("__draw") < F.col("__share") * F.lit(2.0 ** 32)).drop("__of", "__share", "__draw"))
+
+
 def _target(n: Column, fraction: float) -> Column:
     """round-half-up(fraction * n) in integer arithmetic."""
     num = int(round(fraction * _FRACTION_UNIT))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from . import (log_reports, ml_claims, ml_decompose, ml_recommend, ml_trees_text, relational,
+from . import (basics, log_reports, ml_claims, ml_decompose, ml_recommend, ml_trees_text, model_facts, relational,
                splits)
 
-_MODULES = [log_reports, relational, splits, ml_claims, ml_recommend, ml_decompose,
-            ml_trees_text]
+_MODULES = [log_reports, relational, basics, splits, ml_claims, ml_recommend, ml_decompose,
+            ml_trees_text, model_facts]
 
 
 def all_queries() -> dict:

@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from strata.operators import logs
+from strata.operators import genres, logs, sampling, topk
 from strata.plans import fixtures as fx
 from strata.plans.log_reports import parsed_log
 
@@ -25,8 +25,37 @@ def test_reports_independent_of_layout(spark):
 
 
 def test_kmeans_assigns_nearest_centre(spark):
-    rows = queries()["kmeans_assign"](spark, SMALL).collect()
-    assert rows and all(r["cluster"] == r["nearest"] for r in rows)
+    assigned = {r["vec_id"]: r["cluster"] for r in queries()["kmeans_assign"](spark, SMALL).collect()}
+    rows = spark.read.parquet(f"{SMALL}/embeddings.parquet").select("vec_id", "embedding").collect()
+    x = np.array([r["embedding"] for r in rows], float)
+    of = np.array([assigned[r["vec_id"]] for r in rows])
+    assert len(assigned) == len(rows) > 0
+    centres = np.stack([x[of == c].mean(axis=0) for c in range(10)])  # converged: means of their members
+    nearest = ((x[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+    assert (nearest == of).mean() > 0.98
+
+
+def test_repeated_users_weigh_as_often_as_listed(spark):
+    ratings = spark.createDataFrame([(1, 7, 10), (2, 7, 40), (2, 8, None), (3, 7, 50)], "u int, i int, r long")
+    users = spark.createDataFrame([(1,), (2,), (2,)], "u int")
+    out = {r["i"]: (r["n_ratings"], r["avg_rating"]) for r in
+           genres.item_means(ratings, "i", "r", users=users, user_col="u").collect()}
+    assert out == {7: (3, 30.0), 8: (2, None)}
+
+
+def test_md5_sample_follows_the_key(spark):
+    df = spark.range(4000).withColumn("g", F.col("id") % 2)
+    picked = sampling.md5_sample(df, ["id"], 0.25, seed=5)
+    assert _same(picked, sampling.md5_sample(df.repartition(9), ["id"], 0.25, seed=5))
+    assert 850 < picked.count() < 1150
+    shares = spark.createDataFrame([(0, 1.0)], "g long, fraction double")
+    assert _same(sampling.md5_sample(df, ["id"], shares, "g"), df.filter("g = 0"))
+
+
+def test_frequent_values_are_exact(spark):
+    df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 3 + [("c",)] + [(None,)] * 5, "v string")
+    assert sorted(map(tuple, topk.frequent_values(df, "v", 0.3).collect())) == [("a", 6), ("b", 3)]
+    assert topk.frequent_values(df.limit(0), "v", 0.3).count() == 0
 
 
 def test_pca_components_orthonormal_and_shares(spark):

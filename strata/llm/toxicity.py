@@ -214,6 +214,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityMod
                   .where((F.col("bad") >= LEAST) & (F.col("bad") >= PURE * F.col("n")))
                   .orderBy(F.desc("bad"), "f").limit(CANDIDATES).collect())
     table = rows.toArrow()
+    if not table.num_rows:
+        return ToxicityModel()
     toxic = table.column("toxic").to_numpy().astype(float)
     lists = table.column("features").combine_chunks()
     at, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy().view(np.uint64)

@@ -51,7 +51,8 @@ def test_quality_odd_rows(spark):
 
 
 def test_isotonic_pooling():
-    assert quality.pool_adjacent(np.array([.2, .1, .5, .4, .9]), np.ones(5)).tolist() == [.15, .15, .45, .45, .9]
+    pooled = quality.pool_adjacent(np.array([.2, .1, .5, .4, .9]), np.ones(5))
+    assert np.allclose(pooled, [.15, .15, .45, .45, .9], rtol=0, atol=1e-12)
     assert np.allclose(quality.pool_adjacent(np.array([1., 0.]), np.array([1., 3.])), 0.25)
 
 
@@ -87,6 +88,15 @@ def test_toxicity_odd_rows(spark):
     assert toxicity.toxicity(frame(spark, []), some).collect() == []
 
 
+def test_labels_of_no_document(spark):
+    """Labels that fit none of the documents teach nothing."""
+    docs = frame(spark, odd_rows())
+    others = spark.createDataFrame([(900_000 + i, i % 2, (i + 1) % 2) for i in range(8)],
+                                   "doc_id long, quality int, toxic int")
+    assert {(r["score"], r["predicted"]) for r in toxicity.toxicity(docs, others).collect()} == {(0.0, 0)}
+    assert {(r["score"], r["predicted"]) for r in quality.quality(docs, others).collect()} == {(0.5, 0)}
+
+
 def test_label_model_finds_voters_and_correlations():
     rng = np.random.default_rng(7)
     truth = rng.random(4000) < 0.15

@@ -29,6 +29,8 @@ from .textscan import (LOWER, NOT_SPACE, ByteHashes, Words, bounded_batches, crc
 
 FOURIER = 256
 RIDGE = 1e-3
+#: Partial sums of the normal equations before the last one.
+SLICES = 256
 #: Kernel width in units of the square root of the number of statistics.
 WIDTH = 0.7
 ACCEPT = 0.7
@@ -167,10 +169,15 @@ def _normal_equations(rows: DataFrame, model: QualityModel) -> tuple[np.ndarray,
 
     def add(table: pa.Table) -> pa.Table:
         total = _matrix(table.column("row").combine_chunks()).sum(axis=0)
-        return pa.table({"i": table.column("i").slice(0, 1), "row": pa.array([total], pa.list_(pa.float64()))})
-
-    summed = (rows.mapInArrow(part, "i int, row array<double>")
-              .groupBy("i").applyInArrow(add, "i int, row array<double>").toArrow().sort_by("i"))
+        return pa.table({"i": table.column("i").slice(0, 1), "slice": table.column("slice").slice(0, 1),
+                         "row": pa.array([total], pa.list_(pa.float64()))})
+
+    # two steps, so that no task gets a row of every partition
+    schema = "i int, slice int, row array<double>"
+    parts = (rows.mapInArrow(part, "i int, row array<double>")
+             .withColumn("slice", (F.spark_partition_id() % SLICES).cast("int")))
+    summed = (parts.groupBy("i", "slice").applyInArrow(add, schema)
+              .groupBy("i").applyInArrow(add, schema).toArrow().sort_by("i"))
     total = _matrix(summed.column("row").combine_chunks())
     return total[:, :size], total[:, size]
 
@@ -205,7 +212,6 @@ def fit(stats: DataFrame, labels: DataFrame) -> QualityModel:
     grid = (rows.mapInArrow(raw, "step int, y double").groupBy("step")
             .agg(F.count("*").alias("n"), F.sum("y").alias("good")).orderBy("step").collect())
     model.knots = np.array([r["step"] for r in grid]) * STEP
-    # one good and one bad row are added at the base rate, so that no score is certain
     weight = np.array([r["n"] for r in grid], float)
     model.values = pool_adjacent(np.array([r["good"] for r in grid]) / weight, weight)
     return model

@@ -1,17 +1,16 @@
 """Cross-entropy difference scores (operator 7; Moore and Lewis 2010).
 
-Two bigram models of the same shape, one of the target documents and one of
-all documents, share one vocabulary: a word is one of CELLS hash cells, and
-the FREQUENT cells that occur most often in all documents are words of their
-own in the bigram table, where every other cell stands for one rare class.
-P(word | before) = P(class | class before) * P(cell | class), both smoothed
-alike.  A document's score is the mean over its tokens of the target's loss
+A document's score is the mean over its tokens of the target model's loss
 minus the background's (in nats): the lower, the more like the target.
 
-Counts are taken over all texts: every partition sums its own dense tables
-and emits the cells that aren't zero, which are then added by cell.  The
-tables' size is fixed by CELLS and FREQUENT, not by the data, so the fitted
-models (12 MB) are small enough for every task.
+``cross_entropy_difference``, the operator, counts every bigram of real words
+in tables that grow with the corpus (``lm_tables``).
+
+``fit`` and ``score`` are a preview of fixed size, which the operator doesn't
+use: a word is one of CELLS hash cells, and the FREQUENT cells that occur most
+often are words of their own in the bigram table, where every other cell
+stands for one rare class.  P(word | before) = P(class | class before) *
+P(cell | class), both smoothed alike.
 
 Defined results: texts without a token have n_tokens 0, null losses and score
 0; without target documents the two models differ by smoothing only.
@@ -27,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import lm_tables
 from .textscan import LETTER, LOWER, Words, bounded_batches, map_texts, slices, text_buffer
 
 CELL_BITS = 18
@@ -122,13 +122,15 @@ def _pair_logs(counts: np.ndarray) -> np.ndarray:
     return np.log((table + kinds * unigram) / (total + kinds)).astype(np.float32).ravel()
 
 
+def _distinct_ids(target_ids: DataFrame) -> DataFrame:
+    ids = target_ids.select(F.col("doc_id").alias("target_id")).where(F.col("doc_id").isNotNull()).distinct()
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def fit(docs: DataFrame, target_ids: DataFrame) -> LmModel:
     """Models of ``docs(doc_id, text)`` and of those whose id is in ``target_ids(doc_id)``."""
-    ids = target_ids.select(F.col("doc_id").alias("target_id")).where(F.col("doc_id").isNotNull()).distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
     marked = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-              .join(ids, F.col("doc_id") == F.col("target_id"), "left")
+              .join(_distinct_ids(target_ids), F.col("doc_id") == F.col("target_id"), "left")
               .select("text", F.col("target_id").isNotNull().alias("target")))
     every, target = _table(_summed(marked, None), CELLS)
     # class 0 is the rare one; ties go to the lower cell
@@ -156,4 +158,5 @@ def score(docs: DataFrame, model: LmModel) -> DataFrame:
 
 
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
-    return score(docs, fit(docs, target_ids))
+    """(doc_id, n_tokens, target_loss, background_loss, score) by bigram tables of all documents."""
+    return lm_tables.scores(docs, _distinct_ids(target_ids))

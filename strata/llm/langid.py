@@ -12,6 +12,13 @@ counts.  Prediction is one pass over the whole texts with no shuffle.
 Defined results: null text or text without a letter: ``und`` with score 0;
 no training rows: ``und`` with score 0 everywhere; a single language: that
 one; ties between languages go to the one first in alphabetical order.
+
+The pipeline stage also asks whether the text looks like the language that the
+model chose, since every choice is the best of the learned ones even for junk:
+the mean log probability of its trigrams under the language's own counts must
+reach a cut halfway between what the language's training rows reach, each left
+out of the counts in turn, and what evenly spread trigrams reach.  A language
+with fewer than ``CALIBRATION_ROWS`` rows has no cut.
 """
 
 from __future__ import annotations
@@ -32,6 +39,8 @@ DIMENSIONS = 1 << 12
 UNKNOWN = "und"
 #: Score below which the pipeline stage rejects a document.
 REJECT_BELOW = 0.2
+#: Rows of a language that its cut needs; share of them that may lie below the start of the margin.
+CALIBRATION_ROWS, LOW_SHARE = 20, 0.005
 
 # Language codes by family (ISO 639-1).
 FAMILIES = {
@@ -122,6 +131,16 @@ class LanguageModel:
     #: languages of each family, and SVM weights of each pair (first against second)
     members: dict[str, list[str]] = field(default_factory=dict)
     pairs: dict[tuple[str, str], np.ndarray] = field(default_factory=dict)
+    #: of each language: log probability of each trigram slot, its variance, and the cut
+    profiles: dict[str, tuple[np.ndarray, float, float]] = field(default_factory=dict)
+
+    def typical(self, counts: np.ndarray, lang: np.ndarray) -> np.ndarray:
+        """Whether each text looks like its language; no trigram or no cut: yes."""
+        out = np.ones(len(counts), bool)
+        for name, (logs, variance, cut) in self.profiles.items():
+            rows = np.flatnonzero((lang == name) & (counts.sum(axis=1) > 0))
+            out[rows] = _typicality(counts[rows] @ logs, counts[rows].sum(axis=1), variance) >= cut
+        return out
 
     def predict(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Languages and scores (the family's probability times the language's in it)."""
@@ -157,6 +176,25 @@ class LanguageModel:
         return lang, score
 
 
+def _typicality(total: np.ndarray, n: np.ndarray, variance: float) -> np.ndarray:
+    """Mean log probability of n trigrams, plus two standard deviations of the mean for short texts."""
+    return total / n + 2 * np.sqrt(variance / n)
+
+
+def _profile(counts: np.ndarray) -> tuple[np.ndarray, float, float] | None:
+    """Trigram log probabilities of a language's rows, their variance and the cut; None if it can't be set."""
+    counts = counts[counts.sum(axis=1) > 0].astype(np.float32)
+    if len(counts) < CALIBRATION_ROWS:
+        return None
+    total, n = counts.sum(axis=0, dtype=float) + 0.5, counts.sum(axis=1, dtype=float)
+    chance = total / total.sum()
+    logs = np.log(chance)
+    variance = float(chance @ logs ** 2 - (chance @ logs) ** 2)
+    others = np.array([c @ np.log(total - c) for c in counts]) - n * np.log(total.sum() - n)
+    low, junk = np.quantile(_typicality(others, n, variance), LOW_SHARE), logs.mean()
+    return (logs, variance, float(low + junk) / 2) if low > junk else None
+
+
 def _sparse_counts(piece: pa.RecordBatch) -> pa.RecordBatch:
     counts = trigram_counts(piece.column("text"))
     row, slot = np.nonzero(counts)
@@ -185,8 +223,9 @@ def fit(rows: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
     x = np.zeros((len(lang), DIMENSIONS), np.float32)
     x[np.repeat(np.arange(len(lang)), np.diff(at)), lists.flatten().to_numpy()] = \
         sample.column("counts").combine_chunks().flatten().to_numpy()
-    x = scaled(x)
     langs = sorted(set(lang))
+    model.profiles = {name: p for name in langs if (p := _profile(x[lang == name])) is not None}
+    x = scaled(x)
     family = {name: family_of(name) for name in langs}
     model.families = sorted(set(family.values()))
     model.members = {f: [name for name in langs if family[name] == f] for f in model.families}
@@ -227,8 +266,9 @@ def keep_identified(docs: DataFrame, below: float = REJECT_BELOW) -> DataFrame:
     model = fit(docs.where(crc_class(F.col("doc_id"), 3) != 1))
 
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        lang, score = model.predict(trigram_counts(piece.column("text")))
+        counts = trigram_counts(piece.column("text"))
+        lang, score = model.predict(counts)
         said = np.array([bool(t and _LETTER.search(t)) for t in piece.column("text").to_pylist()], bool)
-        return piece.filter(pa.array(said & (lang != UNKNOWN) & (score >= below)))
+        return piece.filter(pa.array(said & (lang != UNKNOWN) & (score >= below) & model.typical(counts, lang)))
 
     return map_texts(docs, work, docs.schema)

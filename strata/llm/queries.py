@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import (bpe, decontaminate, embed_dedup, langid, lm_score, minhash, pii, quality, toxicity,
+from . import (bpe, decontaminate, embed_dedup, langid, lm_score, merkle, minhash, pii, quality, toxicity,
                url_filter)
+from .twins import MERKLE
 
 
 def q_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +54,10 @@ def q_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def q_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": q_language,
     "op2_pii": q_pii,
@@ -64,6 +69,7 @@ QUERIES = {
     "op8_embedding_dedup": q_embeddings,
     "op9_url_filter": q_urls,
     "op10_minhash_near_dedup": q_minhash,
+    "op11_merkle_manifest": q_merkle,
 }
 
 # Shingle sets, exact Jaccard links and their components, for small tables.
@@ -102,4 +108,5 @@ SELECT e.vec_id, coalesce(c.n, 0) AS n_links, coalesce(least(r.seen, e.vec_id),
   e.vec_id = coalesce(least(r.seen, e.vec_id), e.vec_id) AS kept
 FROM embeddings e LEFT JOIN counts c USING (vec_id) LEFT JOIN least_seen r ON r.node = e.vec_id"""
 
-ORACLES = {"op8_embedding_dedup": _EMBEDDINGS, "op10_minhash_near_dedup": _MINHASH}
+ORACLES = {"op8_embedding_dedup": _EMBEDDINGS, "op10_minhash_near_dedup": _MINHASH,
+           "op11_merkle_manifest": MERKLE}

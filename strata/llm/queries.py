@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import (bpe, decontaminate, embed_dedup, langid, lm_score, merkle, minhash, pii, quality, toxicity,
+from . import (bpe, conversations, decontaminate, embed_dedup, langid, lm_score, merkle, minhash, pii, quality, toxicity,
                url_filter)
-from .twins import MERKLE
+from .twins import CONVERSATIONS, MERKLE
 
 
 def q_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,10 @@ def q_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_check(read_table(spark, sf_dir, "documents"))
 
 
+def q_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_language_id": q_language,
     "op2_pii": q_pii,
@@ -70,6 +74,7 @@ QUERIES = {
     "op9_url_filter": q_urls,
     "op10_minhash_near_dedup": q_minhash,
     "op11_merkle_manifest": q_merkle,
+    "op12_conversation_repair": q_conversations,
 }
 
 # Shingle sets, exact Jaccard links and their components, for small tables.
@@ -109,4 +114,4 @@ SELECT e.vec_id, coalesce(c.n, 0) AS n_links, coalesce(least(r.seen, e.vec_id),
 FROM embeddings e LEFT JOIN counts c USING (vec_id) LEFT JOIN least_seen r ON r.node = e.vec_id"""
 
 ORACLES = {"op8_embedding_dedup": _EMBEDDINGS, "op10_minhash_near_dedup": _MINHASH,
-           "op11_merkle_manifest": MERKLE}
+           "op11_merkle_manifest": MERKLE, "op12_conversation_repair": CONVERSATIONS}

@@ -69,3 +69,65 @@ SELECT l.doc_id, l.leaf, u.h AS subroot, root.root, coalesce(p.proof, sha256('')
   f.h AS folded_root, f.h = root.root AS verified
 FROM leaves l JOIN subroots u ON l.lang IS NOT DISTINCT FROM u.lang CROSS JOIN root
 LEFT JOIN listed p USING (r) JOIN fold f ON f.r = l.r AND f.k = coalesce(len(f.path), 0) + 1"""
+
+# Edits of one row after another from four states (0 nothing yet, 1 after s, 2 after u, 3 after a), with the least
+# (cost, audit) kept for each state. Two insertions in a row are never cheapest, so one before each row is enough.
+CONVERSATIONS = rf"""WITH RECURSIVE crc_table AS (
+  {CRC_TABLE}),
+spaced AS (
+  SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, conv_id, turn, coalesce(role, ' ') AS role,
+    coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+  FROM conversations),
+kinds AS (SELECT c, conv_id, turn, role, text, {crc('key')} % 20 AS kind FROM spaced, crc_table),
+damaged AS (
+  SELECT c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM kinds, unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS p,
+    left(role, 1) AS i FROM damaged),
+faulty AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY p) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+    lag(i) OVER (PARTITION BY c ORDER BY p) || i AS pair FROM placed),
+counted AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM faulty GROUP BY c),
+path AS (
+  SELECT DISTINCT c, 0 AS p, 0 AS st, 0 AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS lines FROM spaced
+  UNION ALL
+  SELECT c, p, st, min(cost), arg_min(audit, {{'cost': cost, 'audit': audit}}),
+    arg_min(lines, {{'cost': cost, 'audit': audit}}) FROM (
+    SELECT b.c, r.p, e.st, b.cost + e.cost AS cost, b.audit || e.edit AS audit,
+      CASE WHEN e.line IS NULL THEN b.lines ELSE list_append(b.lines, e.line) END AS lines
+    FROM (SELECT c, p, st, cost, audit, lines FROM path UNION ALL
+          SELECT c, p, CASE WHEN st = 2 THEN 3 ELSE 2 END, cost + 5, audit || 'I',
+            list_append(lines, CASE WHEN st = 2 THEN 'assistant:' ELSE 'user:' END) FROM path) b
+    JOIN faulty r ON r.c = b.c AND r.p = b.p + 1,
+    LATERAL (SELECT unnest([
+      {{'edit': 'D', 'st': b.st, 'cost': 2, 'line': NULL, 'ok': true}},
+      {{'edit': 'K', 'st': 1, 'cost': 0 + CASE WHEN r.fault = 'truncated' THEN 5 ELSE 0 END,
+        'line': r.role || ':' || r.text, 'ok': r.fault NOT IN ('blank', 'duplicate') AND b.st = 0 AND r.i = 's'}},
+      {{'edit': CASE WHEN r.i = CASE WHEN b.st = 2 THEN 'a' ELSE 'u' END THEN 'K' ELSE 'R' END,
+        'st': CASE WHEN b.st = 2 THEN 3 ELSE 2 END,
+        'cost': CASE WHEN r.i = CASE WHEN b.st = 2 THEN 'a' ELSE 'u' END THEN 0 ELSE 1 END
+          + CASE WHEN r.fault = 'truncated' THEN 5 ELSE 0 END,
+        'line': CASE WHEN r.i = CASE WHEN b.st = 2 THEN 'a' ELSE 'u' END THEN r.role
+          WHEN b.st = 2 THEN 'assistant' ELSE 'user' END || ':' || r.text,
+        'ok': r.fault NOT IN ('blank', 'duplicate')}}], recursive := true)) AS e
+    WHERE e.ok) GROUP BY c, p, st),
+ends AS (
+  SELECT c, cost, audit, lines FROM (
+    SELECT c, p, st, cost, audit, lines FROM path UNION ALL
+    SELECT c, p, 3, cost + 5, audit || 'I', list_append(lines, 'assistant:') FROM path WHERE st = 2) z
+  WHERE st IN (0, 3) AND p = (SELECT count(*) FROM faulty f WHERE f.c = z.c)),
+best AS (
+  SELECT c, min(cost) AS cost, arg_min(audit, {{'cost': cost, 'audit': audit}}) AS audit,
+    arg_min(lines, {{'cost': cost, 'audit': audit}}) AS lines FROM ends GROUP BY c)
+SELECT s.conv_id, coalesce(n.gaps, 0) AS gaps, coalesce(n.blank, 0) AS blank, coalesce(n.duplicate, 0) AS duplicate,
+  coalesce(n.truncated, 0) AS truncated, coalesce(n.illegal, 0) AS illegal, b.cost::BIGINT AS cost, b.audit,
+  sha256(array_to_string(b.lines, chr(10))) AS repaired_sha256
+FROM (SELECT DISTINCT c, conv_id FROM spaced) s JOIN best b USING (c) LEFT JOIN counted n USING (c)"""

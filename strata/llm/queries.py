@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import (bpe, conversations, decontaminate, embed_dedup, langid, lm_score, merkle, minhash, pii, quality, toxicity,
-               url_filter)
+from . import (ann, bpe, conversations, decontaminate, embed_dedup, langid, lm_score, merkle, minhash, pii,
+               quality, toxicity, url_filter)
 from .twins import CONVERSATIONS, MERKLE
 
 
@@ -62,6 +62,10 @@ def q_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(read_table(spark, sf_dir, "conversations"))
 
 
+def q_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_language_id": q_language,
     "op2_pii": q_pii,
@@ -75,6 +79,7 @@ QUERIES = {
     "op10_minhash_near_dedup": q_minhash,
     "op11_merkle_manifest": q_merkle,
     "op12_conversation_repair": q_conversations,
+    "op13_nearest_neighbours": q_nearest,
 }
 
 # Shingle sets, exact Jaccard links and their components, for small tables.

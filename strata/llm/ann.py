@@ -88,7 +88,7 @@ class Hasher:
             x *= self.signs[:, :, turn]
             step = 1
             while step < self.size:  # butterflies of the fast Hadamard transform
-                pairs = x.reshape(*x.shape[:-1], -1, 2, step)
+                pairs = x.reshape(*x.shape[:-1], self.size // (2 * step), 2, step)
                 x = np.stack([pairs[..., 0, :] + pairs[..., 1, :], pairs[..., 0, :] - pairs[..., 1, :]],
                              axis=-2).reshape(x.shape)
                 step *= 2
@@ -107,7 +107,7 @@ class Hasher:
     @staticmethod
     def signed(turned: np.ndarray) -> np.ndarray:
         """Coordinates on all signed axes, in the codes' numbering."""
-        return np.stack([turned, -turned], axis=-1).reshape(*turned.shape[:-1], -1)
+        return np.stack([turned, -turned], axis=-1).reshape(*turned.shape[:-1], 2 * turned.shape[-1])
 
     def score(self, signed: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """How well buckets match: queries (rows of ``signed``: AXES x 2 size) by buckets."""

@@ -42,8 +42,9 @@ K, QUERY_EVERY = 10, 100
 TABLES, AXES, TURNS = 3, 3, 3
 #: Rows whose exact neighbours set the cut, and the share of these to be found.
 SAMPLE, RECALL = 256, 0.98
-#: Rows and queries of a block, ranges of a table, at most.
-BLOCK_ROWS, BLOCK_QUERIES, MOST_RANGES = 1 << 16, 1 << 14, 1 << 14
+#: Rows and queries of a block, at most; ranges of a table, at least and at most.
+BLOCK_ROWS, BLOCK_QUERIES = 1 << 16, 1 << 14
+LEAST_RANGES, MOST_RANGES = 8, 1 << 14
 #: Numbers in one array of a task, about; candidate pairs that are measured at once.
 NUMBERS, PAIRS = 1 << 20, 1 << 16
 
@@ -235,8 +236,7 @@ def _routes(hasher: Hasher, n: int, vectors: np.ndarray, asks: np.ndarray) -> It
 
 def _searched(rows: DataFrame, queries: Column, hasher: Hasher, total: int) -> DataFrame:
     """(query_id, vec_id, score): the K nearest of each query in each block."""
-    wide = shuffle_width(rows.sparkSession)
-    n = int(min(MOST_RANGES, (2 * hasher.size) ** 2, max(-(-total // BLOCK_ROWS), -(-2 * wide // TABLES))))
+    n = int(min(MOST_RANGES, (2 * hasher.size) ** 2, max(-(-total // BLOCK_ROWS), LEAST_RANGES)))
     asked = rows.select("vec_id", "embedding", queries.alias("asks"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,7 +271,7 @@ def _searched(rows: DataFrame, queries: Column, hasher: Hasher, total: int) -> D
 
     kind = rows.schema["embedding"].dataType.simpleString()
     dealt = asked.mapInArrow(deal, f"block long, place int, asks boolean, code long, vec_id long, embedding {kind}")
-    dealt = dealt.repartition(wide, "block").sortWithinPartitions("block", "asks")
+    dealt = dealt.repartition(shuffle_width(rows.sparkSession), "block").sortWithinPartitions("block", "asks")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []

@@ -92,6 +92,27 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, column: str, buckets: int) -> tuple[DataFrame, str]:
+    """``df`` as a table in the shared folder, bucketed by ``column``, and the table's name.
+
+    A join or grouping by ``column`` with as many partitions reads the table where
+    it lies, without an exchange.  ``drop_bucketed`` removes it.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    (df.repartition(buckets, column).write.mode("overwrite").bucketBy(buckets, column)
+     .option("path", path).format("parquet").saveAsTable(table))
+    return spark.table(table), table
+
+
+def drop_bucketed(spark: SparkSession, table: str) -> None:
+    """Remove a table made by ``bucketed`` and its files."""
+    where = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
+    spark.sql(f"DROP TABLE {table}")
+    discard(spark, where)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a table written by ``written`` that no later plan reads."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -11,7 +11,8 @@ Malformed rows become nulls (``PERMISSIVE``) or are dropped
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Lossless text form of timestamps (microseconds kept; the CSV default keeps ms).
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -31,6 +32,28 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType | str | No
     return reader.csv(path)
 
 
+def read_checked(spark: SparkSession, path: str, schema: StructType | str,
+                 sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """Rows that fit ``schema``, and the lines that don't as (file, line) (S-02, D-18).
+
+    A line with a missing or further field, or a field that can't be read as its type,
+    goes to the rejects as a whole instead of becoming a row with nulls that look
+    like data.  Kept rows plus rejects are all lines that aren't blank.  The file is
+    headerless with one record a line; it is read as text, so that every field
+    is parsed even where a query needs only some of them.
+    """
+    fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    bad = "_rejected_line"
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad,
+               "timestampNTZFormat": TIMESTAMP_TEXT, "timestampFormat": TIMESTAMP_TEXT}
+    whole = StructType([*fields.fields, StructField(bad, StringType())])
+    lines = (spark.read.text(path).where(F.trim("value") != "")
+             .select("value", F.col("_metadata.file_path").alias("file"),
+                     F.from_csv("value", whole.toDDL(), options).alias("row")))
+    kept = lines.where(F.col(f"row.{bad}").isNull()).select(*[F.col("row")[f.name].alias(f.name) for f in fields.fields])
+    return kept, lines.where(F.col(f"row.{bad}").isNotNull()).select("file", F.col("value").alias("line"))
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = False) -> str:
     """Write ``df`` as delimited text (overwrite); returns ``path``."""
     (df.write.mode("overwrite").option("sep", sep).option("header", str(header).lower())

@@ -31,6 +31,14 @@ def timestamp_text(line: Column) -> Column:
     return F.regexp_extract(line, TIMESTAMP_PATTERN, 1)
 
 
+def log_time(ts_text: Column) -> Column:
+    """The instant of ``dd/MMM/yyyy:HH:mm:ss Z``, its zone's offset applied; null where it can't be read.
+
+    Month names are English whatever the session's locale.
+    """
+    return F.try_to_timestamp(ts_text, F.lit("dd/MMM/yyyy:HH:mm:ss Z"))
+
+
 def request(line: Column) -> Column:
     return F.regexp_extract(line, REQUEST_PATTERN, 1)
 

@@ -81,10 +81,15 @@ def ordered_prefix_sums(df: DataFrame, order_col: str, value_cols: list[str],
 def roc_auc(df: DataFrame, label: str, score: str, by: str | None = None) -> DataFrame:
     """Exact area under the ROC curve of ``score`` for binary ``label``: one row (auc).
 
+    Rows with a null label, or a null or NaN score, are left out: they have no
+    place in the ranking.
+
     With ``by`` (a column without nulls), one row (by, auc) for each of its
     values, all from one prefix sum in (by, score) order.
     """
     group = F.lit(0) if by is None else F.col(by)
+    ranked = F.col(score).cast("double")
+    df = df.where(F.col(label).isNotNull() & ranked.isNotNull() & ~F.isnan(ranked))
     per_score = df.groupBy(group.alias("__by"), F.col(score).cast("double").alias("score")).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("pos"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("long").alias("neg"))

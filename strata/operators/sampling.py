@@ -184,9 +184,12 @@ def time_cutoff(df: DataFrame, ts_col: str, fraction: float) -> DataFrame:
     boundary day; inside that day the counts per distinct ``ts`` get a
     distributed prefix sum (range partitions + per-partition offsets), so
     even a day holding a third of all rows is never ranked in one task.
+    Rows without a ``ts`` have no place in time and count for nothing here; no
+    dated row: a null cut-off.
     """
     from .metrics import ordered_prefix_sums
 
+    df = df.filter(F.col(ts_col).isNotNull())
     day = F.date_trunc("day", F.col(ts_col))
     daily = df.groupBy(day.alias("__day")).agg(F.count(F.lit(1)).alias("__cnt"))
     wd = Window.orderBy("__day").rowsBetween(Window.unboundedPreceding, 0)
@@ -211,9 +214,11 @@ def time_cutoffs(df: DataFrame, ts_col: str, fractions: Sequence[float]) -> Data
     One daily histogram and one pass over the boundary days serve every
     fraction.  The row is bounded by ``len(fractions)``; callers may fetch
     it (``first()``) and filter with literals, which reach the scan.
+    Rows without a ``ts`` count for nothing.
     """
     from .metrics import ordered_prefix_sums
 
+    df = df.filter(F.col(ts_col).isNotNull())
     day = F.date_trunc("day", F.col(ts_col))
     daily = df.groupBy(day.alias("__day")).agg(F.count(F.lit(1)).alias("__cnt"))
     wd = Window.orderBy("__day").rowsBetween(Window.unboundedPreceding, 0)
@@ -247,7 +252,8 @@ def time_cutoffs(df: DataFrame, ts_col: str, fractions: Sequence[float]) -> Data
 def time_split(df: DataFrame, ts_col: str, fraction: float, flag_col: str = "is_train") -> DataFrame:
     """Rows at or before the exact ``fraction`` time cut-off are training (B-07).
 
-    The cut-off is a one-row scalar subquery, evaluated once.
+    The cut-off is a one-row scalar subquery, evaluated once, from the rows that
+    have a ``ts``.  A row without one has a null flag: it is in neither part.
     """
     cut = time_cutoff(df, ts_col, fraction).scalar()
     return df.withColumn(flag_col, F.col(ts_col) <= cut)

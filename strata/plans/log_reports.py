@@ -27,6 +27,13 @@ def q_log_parse(spark, sf_dir):
     return parsed_log(spark, sf_dir)
 
 
+def q_log_instants(spark, sf_dir):
+    """The instant of every line in seconds since 1970, and its hour in UTC (X-02)."""
+    at = lf.log_time(F.col("timestamp"))
+    return parsed_log(spark, sf_dir).select("line_id", F.unix_timestamp(at).alias("seconds"),
+                                            F.pmod(F.floor(F.unix_timestamp(at) / 3600), F.lit(24)).alias("utc_hour"))
+
+
 def q_log_region_counts(spark, sf_dir):
     return logs.region_summary(parsed_log(spark, sf_dir))
 
@@ -132,6 +139,14 @@ SELECT line_id, host, timestamp, request, reply_code, reply_bytes,
        (host = '' OR timestamp = '') AS malformed
 FROM parsed"""
 
+S_LOG_INSTANTS = f"""WITH {PARSED_SQL},
+instants AS (
+  SELECT line_id, CAST(epoch(try_strptime(left(timestamp, 20), '%d/%b/%Y:%H:%M:%S')) AS BIGINT)
+    - CAST(right(timestamp, 5)[1] || '1' AS BIGINT)
+      * (CAST(right(timestamp, 4)[1:2] AS BIGINT) * 3600 + CAST(right(timestamp, 2) AS BIGINT) * 60) AS seconds
+  FROM parsed WHERE timestamp <> '' UNION ALL SELECT line_id, NULL FROM parsed WHERE timestamp = '')
+SELECT line_id, seconds, ((seconds // 3600) % 24 + 24) % 24 AS utc_hour FROM instants"""
+
 S_LOG_TEXT_PARSE = f"""WITH {PARSED_SQL}
 SELECT host, timestamp, request, reply_code, reply_bytes,
        (host = '' OR timestamp = '') AS malformed
@@ -193,6 +208,7 @@ FROM parsed"""
 
 QUERIES = {
     "log_parse": q_log_parse,
+    "log_instants": q_log_instants,
     "log_region_counts": q_log_region_counts,
     "log_unique_hosts": q_log_unique_hosts,
     "log_top_hosts": q_log_top_hosts,
@@ -208,6 +224,7 @@ QUERIES = {
 
 ORACLES = {
     "log_parse": S_LOG_PARSE,
+    "log_instants": S_LOG_INSTANTS,
     "log_region_counts": S_LOG_REGION_COUNTS,
     "log_unique_hosts": S_LOG_UNIQUE_HOSTS,
     "log_top_hosts": S_LOG_TOP_HOSTS,

@@ -106,3 +106,18 @@ def test_cutoffs_and_roc_of_many_distinct_values(spark):
     both = df.withColumn("m", F.lit("a")).unionAll(df.select("ts", -F.col("score"), "label", F.lit("b")))
     areas = {r["m"]: r["auc"] for r in M.roc_auc(both, "label", "score", by="m").collect()}
     assert abs(areas["a"] - exact) < 1e-12 and abs(areas["b"] - (1 - exact)) < 1e-12
+
+
+def test_rows_without_a_time_are_in_neither_part(spark):
+    rows = [(i, f"2024-01-0{1 + i // 3} 0{i}:00:00" if i < 6 else None) for i in range(12)]
+    df = spark.createDataFrame(rows, "id int, t string").withColumn("ts", F.col("t").cast("timestamp"))
+    flags = {r["id"]: r["is_train"] for r in S.time_split(df, "ts", 0.5).collect()}
+    assert [flags[i] for i in range(12)] == [True] * 3 + [False] * 3 + [None] * 6
+    assert S.time_cutoffs(df, "ts", (0.5,)).first()["c0"] == S.time_cutoff(df, "ts", 0.5).first()["cutoff"]
+    assert S.time_cutoff(df.filter("ts IS NULL"), "ts", 0.5).first()["cutoff"] is None
+
+
+def test_area_leaves_out_rows_without_a_label_or_score(spark):
+    rows = [(1, 0.9), (0, 0.1), (1, 0.4), (0, 0.4), (None, 0.2), (1, None), (0, float("nan"))]
+    df = spark.createDataFrame(rows, "label int, score double")
+    assert M.roc_auc(df, "label", "score").first()["auc"] == 0.875

@@ -1,4 +1,4 @@
-"""Facts that only a rightly fitted model meets (M-01, M-02, M-06 .. M-11, M-20, J-14, J-15).
+"""Facts that only a right result meets (A-05, E-08, E-09, G-07, G-08, M-01 .. M-23, J-14, J-15).
 
 Where a model has a closed form, SQL states it: penalised one-feature fits and the
 best single split of a tree.  Where it has none, its optimality is checked from the
@@ -7,39 +7,53 @@ data: normal equations of factors, fixed points of clusterings, routes of rows.
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import logfields as lf
 from ..operators import cluster as CL
+from ..operators import decompose as D
 from ..operators import features as FE
 from ..operators import gram as GR
+from ..operators import logs
 from ..operators import models as MO
 from ..operators import recommend as RE
+from ..operators import sketches as SK
 from ..operators import trees as TR
+from ..operators import tune as TU
 from ..session import cluster_cores, cut_lineage
 from ..sources.tables import read_table
 from . import fixtures as fx
+from .log_reports import PARSED_SQL, parsed_log
 from .ml_claims import REG_GRID
-from .ml_recommend import SETTINGS, _als, _embedding_features, _ratings
+from .ml_decompose import WIDTH, _standardised
+from .ml_recommend import SETTINGS, TOP_N, _als, _embedding_features, _ratings
 
 FOLDS = 5
 
 
+def _paid_prices(spark, sf_dir) -> DataFrame:
+    """(fold, features, paid): the list price of a line, and the price after its discount."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_extendedprice", "l_discount"])
+    paid = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    return FE.assembler(["l_extendedprice"], invalid="skip").transform(
+        li.withColumns({"paid": paid, "fold": F.pmod("l_orderkey", F.lit(FOLDS)).cast("int")})
+        .where("fold IS NOT NULL AND paid IS NOT NULL")).select("fold", "features", "paid")
+
+
 def q_ridge_curve(spark, sf_dir):
-    """CV error of price on quantity for every penalty, L2 and L1, from one pass of sums (M-02, M-20, J-14)."""
-    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_quantity", "l_extendedprice"])
-    rows = FE.assembler(["l_quantity"], invalid="skip").transform(
-        li.withColumn("fold", F.pmod("l_orderkey", F.lit(FOLDS))))
-    curve = GR.penalty_curve(spark, GR.fold_sums(rows, "fold", "l_extendedprice"), CURVE_GRID, (0.0, 1.0))
-    return curve.select("elastic", "reg_param", F.round("mean_rmse", 5).alias("mean_rmse"), "is_best")
+    """CV error of paid on list prices for every penalty, L2 and L1, from one pass of sums (M-02, M-20, J-14)."""
+    curve = GR.penalty_curve(spark, GR.fold_sums(_paid_prices(spark, sf_dir), "fold", "paid"), CURVE_GRID, (0.0, 1.0))
+    return curve.select("elastic", "reg_param", F.round("mean_rmse", 3).alias("mean_rmse"), "is_best")
 
 
 # the grid of the claims job, stretched to the size of prices
 CURVE_GRID = [reg * 1000 for reg in REG_GRID]
 S_RIDGE_CURVE = f"""WITH rows AS (
-  SELECT l_orderkey % {FOLDS} AS fold, l_quantity AS x, l_extendedprice AS y FROM lineitem
-  WHERE l_orderkey IS NOT NULL AND l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL),
+  SELECT l_orderkey % {FOLDS} AS fold, l_extendedprice AS x, l_extendedprice * (1 - l_discount) AS y FROM lineitem
+  WHERE l_orderkey IS NOT NULL AND l_discount IS NOT NULL AND l_extendedprice IS NOT NULL),
 folds AS (SELECT DISTINCT fold FROM rows),
 fits AS (
   SELECT folds.fold, avg(x) AS mx, avg(y) AS my, stddev_pop(x) AS sx, stddev_pop(y) AS sy, corr(x, y) AS r
@@ -53,7 +67,7 @@ errors AS (
   SELECT s.fold, elastic, reg, sqrt(avg((y - my - slope * (x - mx)) * (y - my - slope * (x - mx)))) AS rmse
   FROM slopes s JOIN rows ON rows.fold = s.fold GROUP BY s.fold, elastic, reg),
 means AS (SELECT elastic, reg, avg(rmse) AS mean_rmse FROM errors GROUP BY elastic, reg)
-SELECT elastic, reg AS reg_param, round(mean_rmse, 5) AS mean_rmse,
+SELECT elastic, reg AS reg_param, round(mean_rmse, 3) AS mean_rmse,
   row_number() OVER (PARTITION BY elastic ORDER BY mean_rmse, reg) = 1 AS is_best FROM means"""
 
 
@@ -151,7 +165,149 @@ S_KMEANS_FIXED_POINT = """
 SELECT CAST(k AS INTEGER) AS cluster, n AS n_rows, TRUE AS all_nearest, TRUE AS is_mean
 FROM (SELECT count(*) AS n FROM embeddings), range(10) r(k)"""
 
+def q_cv_fixed_folds(spark, sf_dir):
+    """Spark's own cross-validation over the same folds and L2 penalties: grid, curve, best setting (M-19 .. M-23)."""
+    rows = cut_lineage(_paid_prices(spark, sf_dir), "cv-rows")
+    est = MO.linear("paid", solver="normal")
+    found = TU.cross_validate(est, TU.grid([(est.regParam, CURVE_GRID)]),
+                              RegressionEvaluator(labelCol="paid", metricName="rmse"), rows, folds=FOLDS,
+                              fold_col="fold", parallelism=8)
+    reg = F.regexp_extract("setting", "regParam=(.*)", 1).cast("double").alias("reg_param")
+    return TU.validation_curve(spark, found).select(reg, F.round("mean_metric", 3).alias("mean_rmse"), "is_best")
+
+
+S_CV_FIXED_FOLDS = f"SELECT reg_param, mean_rmse, is_best FROM ({S_RIDGE_CURVE}) c WHERE elastic = 0"
+
+
+def q_coefficient_rows(spark, sf_dir):
+    """Named coefficient and parameter rows of an unpenalised fit of price on quantity (M-01, M-18, M-22)."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_quantity", "l_extendedprice"])
+    data = FE.assembler(["l_quantity"], invalid="skip").transform(li.where("l_extendedprice IS NOT NULL"))
+    model = MO.linear("l_extendedprice", solver="normal", max_iter=7).fit(data)
+    terms = MO.coefficient_table(spark, model, MO.feature_names(data)).select(
+        "term", F.round("coefficient", 4).alias("value"))
+    params = MO.param_table(spark, model).where(F.col("param").isin("maxIter", "regParam")).select(
+        F.concat(F.lit("param "), "param").alias("term"), F.col("value").cast("double").alias("value"))
+    return terms.unionByName(params)
+
+
+S_COEFFICIENT_ROWS = """
+SELECT 'l_quantity' AS term, round(regr_slope(l_extendedprice, l_quantity), 4) AS value FROM lineitem
+UNION ALL SELECT '(intercept)', round(regr_intercept(l_extendedprice, l_quantity), 4) FROM lineitem
+UNION ALL SELECT 'param maxIter', 7 UNION ALL SELECT 'param regParam', 0"""
+
+
+def q_text_feature_rows(spark, sf_dir):
+    """Tokens of every whole text, and the total of its hashed term counts (E-08, E-09)."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread_out=True).where("text IS NOT NULL")
+    made = FE.fit_transform(docs, FE.text_features("text"))
+    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda s, x: s + x)
+    narrow = FE.fit_transform(docs, FE.text_features("text", num_features=64))
+    totals = narrow.select("doc_id", total.cast("long").alias("n_counted"))
+    return made.select("doc_id", F.size("words").cast("long").alias("n_tokens"),
+                       F.size(F.array_distinct("words")).cast("long").alias("n_distinct")).join(totals, "doc_id")
+
+
+# Java's split leaves out empty fields at the end
+S_TEXT_FEATURE_ROWS = """WITH words AS (
+  SELECT doc_id, string_split_regex(regexp_replace(lower(text), '\\s+$', ''), '\\s') AS w
+  FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_tokens, CAST(len(list_distinct(w)) AS BIGINT) AS n_distinct,
+  CAST(len(w) AS BIGINT) AS n_counted FROM words"""
+
+
+def q_svd_right_facts(spark, sf_dir):
+    """Right vectors: unit length, orthogonal, and stretched by the rows' matrix to s times a unit vector; the
+    largest variance that any of 64 axes has is not above the first component's (A-03, A-05)."""
+    std = _standardised(spark, sf_dir)
+    res = D.svd(std, 2)
+    v = cut_lineage(D.right_vectors(spark, res, [str(i) for i in range(WIDTH)]), "svd-v")
+    cross = v.groupBy("feature").agg(F.product("v").alias("x")).select(F.sum("x")).scalar()
+    parts = spark.createDataFrame([(j + 1, float(s)) for j, s in enumerate(res.s.toArray())], "component int, s double")
+    cells = std.select("vec_id", F.posexplode(vector_to_array("features")).alias("at", "x"))
+    cells = cells.withColumn("feature", F.col("at").cast("string"))
+    widest = cells.groupBy("feature").agg(F.sum(F.col("x") * F.col("x")).alias("w")).select(F.max("w")).scalar()
+    image = (cells.join(F.broadcast(v), "feature").groupBy("component", "vec_id")  # v: width x 2 rows
+             .agg(F.sum(F.col("x") * F.col("v")).alias("y"))
+             .groupBy("component").agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("stretch")))
+    lengths = v.groupBy("component").agg(F.round(F.sum(F.col("v") * F.col("v")), 6).alias("length"),
+                                         F.count("*").alias("n_features"))
+    return lengths.join(image, "component").join(parts, "component").select(
+        "component", "length", "n_features", (F.abs(cross) < 1e-9).alias("orthogonal"),
+        (F.abs(F.col("stretch") / F.col("s") - 1) < 1e-6).alias("is_singular"),
+        ((F.col("component") > 1) | (F.col("s") * F.col("s") >= widest * (1 - 1e-9))).alias("beats_axes"))
+
+
+S_SVD_RIGHT_FACTS = f"""SELECT CAST(k AS INTEGER) AS component, CAST(1 AS DOUBLE) AS length,
+  CAST({WIDTH} AS BIGINT) AS n_features, TRUE AS orthogonal, TRUE AS is_singular, TRUE AS beats_axes
+FROM (VALUES (1), (2)) c(k)"""
+
+
+def q_topn_pruned(spark, sf_dir):
+    """Exact top-10 lists by length bounds against Spark's full scoring, for all users and a subset (M-12, M-14)."""
+    ratings = _ratings(spark, sf_dir)
+    model = _als("default", cluster_cores(spark)).fit(ratings)
+    lists, share = RE.pruned_top_items(model, TOP_N, block=64)
+    own = lists.groupBy("user_id").agg(F.count("*").alias("n"), F.sort_array(F.collect_list("score")).alias("mine"))
+    full = cut_lineage(RE.top_items_for_users(model, TOP_N), "full-lists").groupBy("user_id").agg(
+        F.sort_array(F.collect_list(F.col("score").cast("double"))).alias("theirs"))
+    some = ratings.where(F.col("user_id") % 10 == 0).select("user_id").distinct()
+    subset = RE.pruned_top_items(model, TOP_N, some, block=64)[0].groupBy("user_id").agg(
+        F.sort_array(F.collect_list("score")).alias("of_subset"))
+
+    def close(a: str, b: str):
+        return (F.size(a) == F.size(b)) & F.forall(F.zip_with(a, b, lambda x, y: F.abs(x - y) < 1e-4), lambda x: x)
+
+    fewer = share.select(F.col("scored") <= F.col("pairs")).scalar()
+    return own.join(full, "user_id", "full").join(subset, "user_id", "left").select(
+        "user_id", "n", F.coalesce(close("mine", "theirs"), F.lit(False)).alias("same_scores"),
+        F.when(F.col("user_id") % 10 == 0, F.coalesce(close("mine", "of_subset"), F.lit(False))).alias("same_in_subset"),
+        fewer.alias("no_pair_twice"))
+
+
+S_TOPN_PRUNED = f"""WITH {fx.RATINGS_SQL}
+SELECT user_id, least({TOP_N}, (SELECT count(DISTINCT item_id) FROM ratings)) AS n, TRUE AS same_scores,
+  CASE WHEN user_id % 10 = 0 THEN TRUE END AS same_in_subset, TRUE AS no_pair_twice FROM ratings GROUP BY user_id"""
+
+
+def q_heavy_quantities(spark, sf_dir):
+    """Quantities on at least 2% of the lines: bounded summaries, then an exact recount (G-08)."""
+    return SK.heavy_hitters(read_table(spark, sf_dir, "lineitem", ["l_quantity"]), "l_quantity", 0.02)
+
+
+S_HEAVY_QUANTITIES = """SELECT l_quantity, count(*) AS n FROM lineitem WHERE l_quantity IS NOT NULL GROUP BY 1
+HAVING count(*) >= CAST(0.02 AS DOUBLE) * (SELECT count(l_quantity) FROM lineitem)"""
+
+
+def q_hosts_in_range(spark, sf_dir):
+    """Distinct hosts of a region in days 1-10 and 11-31: union of written day sketches, within their error (G-07)."""
+    rows = logs.with_region(parsed_log(spark, sf_dir)).select(
+        "region", "host", lf.day_of_log(F.col("timestamp")).try_cast("int").alias("day"))
+    days = cut_lineage(SK.distinct_sketches(rows, ["region", "day"], "host"), "host-sketches")
+    part = F.when(F.col("day") <= 10, "1-10").when(F.col("day") <= 31, "11-31").alias("days")
+    guess = SK.distinct_estimates(days.select("region", part, "sketch").where("days IS NOT NULL"), ["region", "days"])
+    exact = (rows.select("region", part, "host").where("days IS NOT NULL")
+             .groupBy("region", "days").agg(F.count_distinct("host").alias("n_hosts")))
+    near = F.abs(F.col("n") - F.col("n_hosts")) <= F.greatest(F.lit(1.0), SK.relative_error() * F.col("n_hosts"))
+    return exact.join(guess, ["region", "days"], "left").select(
+        "region", "days", "n_hosts", F.coalesce(near, F.lit(False)).alias("within_error"))
+
+
+S_HOSTS_IN_RANGE = f"""WITH {PARSED_SQL},
+dated AS (
+  SELECT region, host, TRY_CAST(regexp_extract(timestamp, '{lf.DAY_PATTERN}', 1) AS INTEGER) AS day
+  FROM regioned WHERE region IS NOT NULL)
+SELECT region, CASE WHEN day <= 10 THEN '1-10' ELSE '11-31' END AS days, count(DISTINCT host) AS n_hosts,
+  TRUE AS within_error FROM dated WHERE day <= 31 GROUP BY 1, 2"""
+
 QUERIES = {
+    "cv_fixed_folds": q_cv_fixed_folds,
+    "coefficient_rows": q_coefficient_rows,
+    "text_feature_rows": q_text_feature_rows,
+    "svd_right_facts": q_svd_right_facts,
+    "topn_pruned": q_topn_pruned,
+    "heavy_quantities": q_heavy_quantities,
+    "hosts_in_range": q_hosts_in_range,
     "ridge_curve": q_ridge_curve,
     "tree_stump": q_tree_stump,
     "tree_walk": q_tree_walk,
@@ -159,6 +315,13 @@ QUERIES = {
     "kmeans_fixed_point": q_kmeans_fixed_point,
 }
 ORACLES = {
+    "cv_fixed_folds": S_CV_FIXED_FOLDS,
+    "coefficient_rows": S_COEFFICIENT_ROWS,
+    "text_feature_rows": S_TEXT_FEATURE_ROWS,
+    "svd_right_facts": S_SVD_RIGHT_FACTS,
+    "topn_pruned": S_TOPN_PRUNED,
+    "heavy_quantities": S_HEAVY_QUANTITIES,
+    "hosts_in_range": S_HOSTS_IN_RANGE,
     "ridge_curve": S_RIDGE_CURVE,
     "tree_stump": S_TREE_STUMP,
     "tree_walk": S_TREE_WALK,

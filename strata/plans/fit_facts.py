@@ -27,7 +27,7 @@ from ..session import cluster_cores, cut_lineage
 from ..sources.tables import read_table
 from . import fixtures as fx
 from .log_reports import PARSED_SQL, parsed_log
-from .ml_claims import REG_GRID
+from .ml_claims import CATS, NUMS, REG, REG_GRID, claims_targets
 from .ml_decompose import WIDTH, _standardised
 from .ml_recommend import SETTINGS, TOP_N, _als, _embedding_features, _ratings
 
@@ -179,6 +179,69 @@ def q_cv_fixed_folds(spark, sf_dir):
 S_CV_FIXED_FOLDS = f"SELECT reg_param, mean_rmse, is_best FROM ({S_RIDGE_CURVE}) c WHERE elastic = 0"
 
 
+def q_penalised_optimality(spark, sf_dir):
+    """L1 and L2 linear and logistic claim models meet their optimality conditions (M-02, M-04, J-13)."""
+    claims = claims_targets(spark, sf_dir)
+    prep = MO.pipeline(FE.tabular_stages(CATS, NUMS)).fit(claims)
+    ready = cut_lineage(prep.transform(claims).select("log_claim", "nz_claim", "features"), "claims-optimality")
+    specs = []
+    for kind, label in (("linear", "log_claim"), ("logistic", "nz_claim")):
+        for name, elastic in (("l1", 1.0), ("l2", 0.0)):
+            est = (MO.linear(label, REG, elastic, solver="normal", max_iter=2000) if kind == "linear"
+                   else MO.logistic(label, REG, elastic, "multinomial", 2000)).setTol(1e-12)
+            specs.append((f"{kind}_{name}", kind, REG, elastic, label, est))
+    fitted = TU.fit_concurrently([(s[-1], ready) for s in specs])
+    gaps = MO.penalty_gaps(ready, [(*s[:-1], model) for s, model in zip(specs, fitted)])
+    rows = ready.agg(F.count("*")).scalar()
+    return gaps.select("model", rows.alias("n_rows"), (F.col("gap") < 1e-4).alias("optimal"))
+
+
+S_PENALISED_OPTIMALITY = f"""WITH {fx.CLAIMS_SQL}
+SELECT m.model, count(*) AS n_rows, TRUE AS optimal
+FROM claims, (VALUES ('linear_l1'), ('linear_l2'), ('logistic_l1'), ('logistic_l2')) m(model) GROUP BY m.model"""
+
+
+def q_kmeans_keys(spark, sf_dir):
+    """k-means (k=25) over (user, item, rating) keeps every row's keys: rows and clusters by user (M-08, V-02)."""
+    rows = _ratings(spark, sf_dir).select("user_id", "rating_tenths", "rating", F.col("user_id").cast("double").alias("u"),
+                                          F.col("item_id").cast("double").alias("i"))
+    _, kept = CL.fit_assign(rows, ["u", "i", "rating"], k=25, seed=37, keep=["user_id", "rating_tenths"])
+    return kept.groupBy("user_id").agg(
+        F.count("*").alias("n_rows"), F.sum("rating_tenths").cast("long").alias("tenths"),
+        F.min(F.col("cluster").between(0, 24)).alias("all_assigned"))
+
+
+S_KMEANS_KEYS = f"""WITH {fx.RATINGS_SQL}
+SELECT user_id, count(*) AS n_rows, CAST(sum(rating_tenths) AS BIGINT) AS tenths, TRUE AS all_assigned
+FROM ratings GROUP BY user_id"""
+
+
+def q_topn_users_pruned(spark, sf_dir):
+    """Exact top-10 users of every item by length bounds against Spark's full scoring (M-13, M-15)."""
+    ratings = _ratings(spark, sf_dir)
+    model = _als("default", cluster_cores(spark)).fit(ratings)
+    full = cut_lineage(RE.top_users_for_items(model, TOP_N), "full-lists")
+    some = ratings.where(F.col("item_id") % 10 == 0).select("item_id").distinct()
+
+    def scores(lists: DataFrame, name: str) -> DataFrame:
+        return lists.groupBy("item_id").agg(F.sort_array(F.collect_list(F.col("score").cast("double"))).alias(name))
+
+    def close(a: str, b: str):
+        return F.coalesce((F.size(a) == F.size(b)) & F.forall(F.zip_with(
+            a, b, lambda x, y: F.abs(x - y) < 1e-4), lambda x: x), F.lit(False))
+
+    mine = scores(RE.pruned_top_users(model, TOP_N, block=64)[0], "mine")
+    subset = scores(RE.pruned_top_users(model, TOP_N, some, block=64)[0], "of_subset")
+    return mine.join(scores(full, "theirs"), "item_id", "full").join(subset, "item_id", "left").select(
+        "item_id", F.size("mine").cast("long").alias("n"), close("mine", "theirs").alias("same_scores"),
+        F.when(F.col("item_id") % 10 == 0, close("mine", "of_subset")).alias("same_in_subset"))
+
+
+S_TOPN_USERS_PRUNED = f"""WITH {fx.RATINGS_SQL}
+SELECT item_id, least({TOP_N}, (SELECT count(DISTINCT user_id) FROM ratings)) AS n, TRUE AS same_scores,
+  CASE WHEN item_id % 10 = 0 THEN TRUE END AS same_in_subset FROM ratings GROUP BY item_id"""
+
+
 def q_coefficient_rows(spark, sf_dir):
     """Named coefficient and parameter rows of an unpenalised fit of price on quantity (M-01, M-18, M-22)."""
     li = read_table(spark, sf_dir, "lineitem", ["l_quantity", "l_extendedprice"])
@@ -301,6 +364,9 @@ SELECT region, CASE WHEN day <= 10 THEN '1-10' ELSE '11-31' END AS days, count(D
   TRUE AS within_error FROM dated WHERE day <= 31 GROUP BY 1, 2"""
 
 QUERIES = {
+    "penalised_optimality": q_penalised_optimality,
+    "kmeans_keys": q_kmeans_keys,
+    "topn_users_pruned": q_topn_users_pruned,
     "cv_fixed_folds": q_cv_fixed_folds,
     "coefficient_rows": q_coefficient_rows,
     "text_feature_rows": q_text_feature_rows,
@@ -315,6 +381,9 @@ QUERIES = {
     "kmeans_fixed_point": q_kmeans_fixed_point,
 }
 ORACLES = {
+    "penalised_optimality": S_PENALISED_OPTIMALITY,
+    "kmeans_keys": S_KMEANS_KEYS,
+    "topn_users_pruned": S_TOPN_USERS_PRUNED,
     "cv_fixed_folds": S_CV_FIXED_FOLDS,
     "coefficient_rows": S_COEFFICIENT_ROWS,
     "text_feature_rows": S_TEXT_FEATURE_ROWS,

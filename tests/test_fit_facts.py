@@ -84,3 +84,17 @@ def test_delimited_rows_and_rejects_add_up(spark, tmp_path):
     assert sorted(map(tuple, kept.collect())) == [(1, "a", 2.5), (5, None, None)]
     assert sorted(r.line for r in rejects.collect()) == ["2,b", "3,c,x", "4,d,1,9"]
     assert kept.select("id").count() == 2  # whichever columns a query needs
+
+
+def test_penalty_gaps_tell_wrong_fits_from_right_ones(spark, rows):
+    sound = rows.where("id >= 0").withColumn("flag", (F.col("y") > 0).cast("double"))
+    fits = []
+    for kind, label in (("linear", "y"), ("logistic", "flag")):
+        for elastic in (0.0, 1.0):
+            est = (MO.linear(label, 0.05, elastic, solver="normal", max_iter=2000) if kind == "linear"
+                   else MO.logistic(label, 0.05, elastic, max_iter=2000)).setTol(1e-13)
+            fits.append((f"{kind} {elastic}", kind, 0.05, elastic, label, est.fit(sound)))
+    gaps = {r.model: r.gap for r in MO.penalty_gaps(sound, fits).collect()}
+    assert len(gaps) == 4 and max(gaps.values()) < 1e-5
+    wrong = [(n, k, 0.2, e, label, m) for n, k, _, e, label, m in fits]
+    assert min(r.gap for r in MO.penalty_gaps(sound, wrong).collect()) > 1e-3

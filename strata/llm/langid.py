@@ -31,10 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textscan import LOWER, crc_class, map_texts, share_of, text_buffer
+from .textscan import LOWER, crc_class, map_texts, text_buffer
 
-#: Training rows of each language, and languages, at most.
-PER_LANGUAGE, MOST_LANGUAGES = 1200, 64
+#: Training rows of each language, and of all languages together, at most (about): beyond 20
+#: languages each gets fewer.  Every language is learned, from its LEAST_ROWS rows at the least.
+PER_LANGUAGE, ALL_LANGUAGES, LEAST_ROWS = 1200, 24_000, 8
 DIMENSIONS = 1 << 12
 UNKNOWN = "und"
 #: Score below which the pipeline stage rejects a document.
@@ -207,15 +208,16 @@ def _sparse_counts(piece: pa.RecordBatch) -> pa.RecordBatch:
 def fit(rows: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
     """Learn from ``rows(doc_id, text, lang)``; rows without text or lang are left out."""
     rows = rows.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = (rows.groupBy("lang").agg(F.count("*").alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect())
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    languages = sizes.count()
     model = LanguageModel()
-    if not sizes:
+    if not languages:
         return model
-    keep = F.lit(False)
-    for r in sizes:
-        keep = keep | ((F.col("lang") == r["lang"]) & share_of(F.col("doc_id"), per_language / r["n"]))
-    sample = map_texts(rows.where(keep), _sparse_counts,
+    most = min(per_language, max(LEAST_ROWS, ALL_LANGUAGES // languages))
+    chosen = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < F.col("share")
+    shares = sizes.select("lang", F.least(F.lit(1.0), most / F.col("n")).alias("share"))
+    shares = shares.withColumn("share", F.floor(F.col("share") * (1 << 30)))  # one row a language
+    sample = map_texts(rows.join(shares, "lang").where(chosen).select("doc_id", "text", "lang"), _sparse_counts,
                        "lang string, slots array<int>, counts array<float>").toArrow()
     lang = np.array(sample.column("lang").to_pylist(), object)
     lists = sample.column("slots").combine_chunks()

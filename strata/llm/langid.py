@@ -36,6 +36,8 @@ from .textscan import LOWER, crc_class, map_texts, text_buffer
 #: Training rows of each language, and of all languages together, at most (about): beyond 20
 #: languages each gets fewer.  Every language is learned, from its LEAST_ROWS rows at the least.
 PER_LANGUAGE, ALL_LANGUAGES, LEAST_ROWS = 1200, 24_000, 8
+#: Languages up to this many go to every task with their shares.
+BROADCAST_LANGUAGES = 100_000
 DIMENSIONS = 1 << 12
 UNKNOWN = "und"
 #: Score below which the pipeline stage rejects a document.
@@ -217,6 +219,8 @@ def fit(rows: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
     chosen = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < F.col("share")
     shares = sizes.select("lang", F.least(F.lit(1.0), most / F.col("n")).alias("share"))
     shares = shares.withColumn("share", F.floor(F.col("share") * (1 << 30)))  # one row a language
+    if languages <= BROADCAST_LANGUAGES:  # else by a shuffle, which AQE splits at hot languages
+        shares = F.broadcast(shares)
     sample = map_texts(rows.join(shares, "lang").where(chosen).select("doc_id", "text", "lang"), _sparse_counts,
                        "lang string, slots array<int>, counts array<float>").toArrow()
     lang = np.array(sample.column("lang").to_pylist(), object)

@@ -1,162 +1,28 @@
 """Cross-entropy difference scores (operator 7; Moore and Lewis 2010).
 
 A document's score is the mean over its tokens of the target model's loss
-minus the background's (in nats): the lower, the more like the target.
-
-``cross_entropy_difference``, the operator, counts every bigram of real words
-in tables that grow with the corpus (``lm_tables``).
-
-``fit`` and ``score`` are a preview of fixed size, which the operator doesn't
-use: a word is one of CELLS hash cells, and the FREQUENT cells that occur most
-often are words of their own in the bigram table, where every other cell
-stands for one rare class.  P(word | before) = P(class | class before) *
-P(cell | class), both smoothed alike.
+minus the background's (in nats): the lower, the more like the target.  Every
+bigram of real words is counted, in tables that grow with the corpus (``lm_tables``).
 
 Defined results: texts without a token have n_tokens 0, null losses and score
-0; without target documents the two models differ by smoothing only.
+0; without target documents the two models differ by smoothing only; repeated
+rows and repeated or null ids give a row each.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import lm_tables
-from .textscan import LETTER, LOWER, Words, bounded_batches, map_texts, slices, text_buffer
 
-CELL_BITS = 18
-CELLS = 1 << CELL_BITS
-FREQUENT = 1 << 10
 #: Target ids up to this many go to every task; beyond, the flag is joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
-_WORD = LETTER.copy()
-_WORD[48:58] = True
-
-
-def _cells(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The cell of every token, and where each text's tokens begin (one more at the end)."""
-    data, rows = text_buffer(texts)
-    words = Words(LOWER[data], rows, _WORD)
-    return (words.hashes() >> np.uint64(64 - CELL_BITS)).astype(np.int64), words.at
-
-
-def _pairs(cells: np.ndarray, at: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Bigram table index of every token; the class before a text's first token is 0."""
-    own = classes[cells]
-    before = np.concatenate([[0], own[:-1]]) if len(own) else own
-    starts = at[:-1][np.diff(at) > 0]
-    before[starts] = 0
-    return before * FREQUENT + own
-
-
-def _summed(docs: DataFrame, classes: np.ndarray | None) -> DataFrame:
-    """(cell, every, target): token counts by cell, or by class pair if classes are given."""
-    size = CELLS if classes is None else FREQUENT * FREQUENT
-    bounded_batches(docs.sparkSession)
-
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
-        for batch in batches:
-            for piece in slices(batch):
-                cells, at = _cells(piece.column("text"))
-                key = cells if classes is None else _pairs(cells, at, classes)
-                chosen = np.repeat(piece.column("target").to_numpy(zero_copy_only=False), np.diff(at))
-                # a slice has far fewer distinct keys than the table has cells
-                for into, keys in ((every, key), (target, key[chosen])):
-                    distinct, count = np.unique(keys, return_counts=True)
-                    into[distinct] += count
-        some = np.flatnonzero(every)
-        for a in range(0, len(some), 65536):
-            k = some[a:a + 65536]
-            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(every[k]), pa.array(target[k])],
-                                             ["cell", "every", "target"])
-
-    return (docs.select("text", "target").mapInArrow(part, "cell long, every long, target long")
-            .groupBy("cell").agg(F.sum("every").alias("every"), F.sum("target").alias("target")))
-
-
-def _table(counts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The counts of all and of the target documents as dense tables of a fixed size."""
-    rows = counts.toArrow()
-    every, target = np.zeros(size), np.zeros(size)
-    at = rows.column("cell").to_numpy()
-    every[at] = rows.column("every").to_numpy()
-    target[at] = rows.column("target").to_numpy()
-    return every, target
-
-
-@dataclass
-class LmModel:
-    classes: np.ndarray  # of each cell
-    #: log P(cell | its class) and log P(class | class before), target and background
-    cell_logs: tuple[np.ndarray, np.ndarray]
-    pair_logs: tuple[np.ndarray, np.ndarray]
-
-    def losses(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens of each text, and its mean loss under either model."""
-        cells, at = _cells(texts)
-        pair, n = _pairs(cells, at, self.classes), np.diff(at)
-        out = []
-        for cell_log, pair_log in zip(self.cell_logs, self.pair_logs):
-            sums = np.concatenate([[0], np.cumsum(cell_log[cells].astype(float) + pair_log[pair])])
-            out.append(-(sums[at[1:]] - sums[at[:-1]]) / np.maximum(n, 1))
-        return n, out[0], out[1]
-
-
-def _cell_logs(counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    smooth = counts + 0.1
-    return np.log(smooth / np.bincount(classes, smooth, FREQUENT)[classes]).astype(np.float32)
-
-
-def _pair_logs(counts: np.ndarray) -> np.ndarray:
-    """Bigrams smoothed towards the unigrams of the classes (as many pseudo-counts as followers)."""
-    table = counts.reshape(FREQUENT, FREQUENT)
-    unigram = (table.sum(axis=0) + 0.1) / (table.sum() + 0.1 * FREQUENT)
-    total, kinds = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True) + 1.0
-    return np.log((table + kinds * unigram) / (total + kinds)).astype(np.float32).ravel()
-
-
-def _distinct_ids(target_ids: DataFrame) -> DataFrame:
-    ids = target_ids.select(F.col("doc_id").alias("target_id")).where(F.col("doc_id").isNotNull()).distinct()
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-
-
-def fit(docs: DataFrame, target_ids: DataFrame) -> LmModel:
-    """Models of ``docs(doc_id, text)`` and of those whose id is in ``target_ids(doc_id)``."""
-    marked = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-              .join(_distinct_ids(target_ids), F.col("doc_id") == F.col("target_id"), "left")
-              .select("text", F.col("target_id").isNotNull().alias("target")))
-    every, target = _table(_summed(marked, None), CELLS)
-    # class 0 is the rare one; ties go to the lower cell
-    frequent = np.argsort(-every, kind="stable")[:FREQUENT - 1]
-    classes = np.zeros(CELLS, np.int64)
-    classes[frequent] = np.where(every[frequent] > 0, np.arange(1, len(frequent) + 1), 0)
-    pairs_every, pairs_target = _table(_summed(marked, classes), FREQUENT * FREQUENT)
-    return LmModel(classes, (_cell_logs(target, classes), _cell_logs(every, classes)),
-                   (_pair_logs(pairs_target), _pair_logs(pairs_every)))
-
-
-def score(docs: DataFrame, model: LmModel) -> DataFrame:
-    """(doc_id, n_tokens, target_loss, background_loss, score) of every document."""
-    def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        n, target, background = model.losses(piece.column("text"))
-        none = n == 0
-        return pa.RecordBatch.from_arrays(
-            [piece.column("doc_id").cast(pa.int64()), pa.array(n.astype(np.int64)),
-             pa.array(target, mask=none), pa.array(background, mask=none),
-             pa.array(np.where(none, 0.0, target - background))],
-            ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return map_texts(docs.select("doc_id", "text"), work,
-                     "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
-
 
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) by bigram tables of all documents."""
-    return lm_tables.scores(docs, _distinct_ids(target_ids))
+    ids = target_ids.select(F.col("doc_id").alias("target_id")).where(F.col("doc_id").isNotNull()).distinct()
+    if ids.count() <= BROADCAST_IDS:
+        return lm_tables.scores(docs, F.broadcast(ids))
+    return lm_tables.scores(docs, ids, shuffled=True)

@@ -1,57 +1,74 @@
-"""Bigram counts as Spark tables, and the scores they give (operator 7).
+"""Bigram counts of the corpus, and the scores they give (operator 7).
 
-Every word and every bigram of the documents is counted: the tables grow with
-the corpus.  Each slice of text emits its distinct words or bigrams, which
-Spark adds in the task and then by key; counts of words and of contexts are
-sums over the written bigram table.  Both models share one vocabulary, all
-words of the documents:
+Every word and every bigram of the documents is counted.  Both models share one
+vocabulary, all words of the documents:
 
   P(w)     = (c(w) + 0.1) / (tokens + 0.1 * vocabulary)
   P(w | v) = (c(v, w) + k(v) * P(w)) / (c(v) + k(v)),  k(v) = followers of v + 1
 
 A word's code is its rank among the HEAD_WORDS most frequent ones or else its
-64-bit hash with the top bit set, so that frequent bigrams take few bytes.
-Scoring emits each document's distinct bigrams, joins them to the written
-table and sums per document.  Bigrams of ranked words that occur once need no
-row there: one without a row has count 1, in its own document.
-
-So that no task gets a frequent key, ranked words and the HEAD_BIGRAMS most
-frequent bigrams are looked up in a broadcast of bounded size instead of a
-shuffle; that changes where a count is looked up, never its value.
+63-bit hash below zero.  Words are counted first, in a written table.
+
+Bigrams leave the texts once.  A slice of documents sends each part of the key
+space one packed row: its distinct (bigram, document) pairs with their counts,
+as compressed differences of sorted keys.  The packed rows are written bucketed
+by part, and their number of parts grows with the tokens, so that a part is
+bounded.  Two readings follow, without another shuffle of the bigrams:
+
+* ``_totals``: what no single part knows, that is the counts of bigrams of two
+  hot words, the contexts of hot words, and which parts meet which unranked words;
+* ``_sums``: the log probabilities of a part's bigrams, added per document and
+  sent on packed by slice, as integers of 2^-32, so that no order of adding
+  changes a score.
+
+Hot words are the HOT most frequent ones and the start of a text.  A bigram of
+two goes to the part of its slice, one whose first word alone is hot goes by both
+words, any other by its first word.  So no part gets a frequent bigram or word
+whole: a word that isn't hot is at most 1 / HOT of all tokens.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import discard, written
-from .textscan import LETTER, LOWER, Words, map_texts, mix64, text_buffer
+from ..session import bucketed, discard, drop_bucketed, written
+from .textscan import LETTER, LOWER, Words, bounded_batches, map_texts, mix64, slices, text_buffer
 
 RANK_BITS = 17
-HEAD_WORDS, HEAD_BIGRAMS = (1 << RANK_BITS) - 1, 1 << 18
+HEAD_WORDS = (1 << RANK_BITS) - 1
+HOT_BITS = 8
+HOT = (1 << HOT_BITS) - 1
+#: Tokens of a part, about; Spark allows MOST_BUCKETS buckets, and a bucket may hold several parts.
+PART_TOKENS, MOST_BUCKETS = 4_000_000, 100_000
 #: Pseudo-count of every word of the vocabulary.
 LEAST = 0.1
+#: Sums of logarithms are kept in these units.
+UNIT = 2.0 ** -32
 
 _WORD = LETTER.copy()
 _WORD[48:58] = True
+_CODEC = "zstd"
 
 
 class Codes:
-    """Codes of words: 1 to HEAD_WORDS for the given hashes, negative for any other."""
+    """Codes of words: 1 to HEAD_WORDS for the given hashes (top bit set), negative for any other."""
 
     def __init__(self, ranked: np.ndarray):
         self._rank = np.argsort(ranked, kind="stable")
         self._hashes = ranked[self._rank]
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
-        other = (hashes | np.uint64(1 << 63)).view(np.int64)
+        other = hashes | np.uint64(1 << 63)
         if len(self._hashes) == 0:
-            return other
-        at = np.minimum(np.searchsorted(self._hashes, hashes), len(self._hashes) - 1)
-        return np.where(self._hashes[at] == hashes, self._rank[at] + 1, other)
+            return other.view(np.int64)
+        at = np.minimum(np.searchsorted(self._hashes, other), len(self._hashes) - 1)
+        return np.where(self._hashes[at] == other, self._rank[at] + 1, other.view(np.int64))
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -70,46 +87,29 @@ def _bigrams(texts: pa.Array, codes: Codes) -> tuple[np.ndarray, np.ndarray, np.
     return before, own, np.repeat(np.arange(len(n)), n), n
 
 
-def _key(before: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """One key of a bigram, negative if either word has no rank; ``_KEY`` is the same in Spark."""
-    v, w = before.view(np.uint64), own.view(np.uint64)
-    mixed = ((v << np.uint64(1)) | (v >> np.uint64(63))) ^ w | np.uint64(1 << 63)
-    return np.where((before >= 0) & (own >= 0), (before << RANK_BITS) | own, mixed.view(np.int64))
-
-
-_KEY = (f"if(v >= 0 and w >= 0, shiftleft(v, {RANK_BITS}) | w, "
-        "((shiftleft(v, 1) | shiftrightunsigned(v, 63)) ^ w) | shiftleft(1L, 63))")
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of int64 as compressed bytes: equal bytes of all values stand together."""
+    planes = [np.ascontiguousarray(c.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns]
+    return pa.compress(b"".join(planes), codec=_CODEC, asbytes=True)
 
 
-def rank_words(docs: DataFrame) -> Codes:
-    """The most frequent words of all texts: HEAD_WORDS or fewer, ties by hash."""
-    def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        word, every = np.unique(_words(piece.column("text"))[0], return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(every.astype(np.int64))],
-                                          ["w", "every"])
-
-    counts, path = written(map_texts(docs.select("text"), work, "w long, every long")
-                           .groupBy("w").agg(F.sum("every").alias("every")), "lm-vocabulary")
-    head = counts.where(_head(counts, HEAD_WORDS)).toArrow()
-    discard(docs.sparkSession, path)
-    word, every = head.column("w").to_numpy().view(np.uint64), head.column("every").to_numpy()
-    return Codes(word[np.lexsort((word, -every))])
+def _unpacked(data: bytes, n: int, columns: int) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(data, decompressed_size=8 * n * columns, codec=_CODEC, asbytes=True), np.uint8)
+    return [np.ascontiguousarray(p.T).view("<i8").reshape(-1) for p in raw.reshape(columns, 8, n)]
 
 
-def bigram_counts(marked: DataFrame, codes: Codes) -> DataFrame:
-    """(v, w, every, target): how often w follows v in ``marked(text, target)``; v is 0 before the first word."""
+def count_words(marked: DataFrame) -> DataFrame:
+    """(w, every, target): tokens of every word in all and in the target documents of ``marked(text, target)``."""
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        before, own, row, _ = _bigrams(piece.column("text"), codes)
-        chosen = piece.column("target").to_numpy(zero_copy_only=False).astype(bool)[row]
-        _, first, which, every = np.unique(_key(before, own), return_index=True, return_inverse=True,
-                                           return_counts=True)
-        target = np.bincount(which[chosen], minlength=len(first)).astype(np.int64)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(before[first]), pa.array(own[first]), pa.array(every.astype(np.int64)), pa.array(target)],
-            ["v", "w", "every", "target"])
+        hashes, at = _words(piece.column("text"))
+        word, which, every = np.unique(hashes | np.uint64(1 << 63), return_inverse=True, return_counts=True)
+        chosen = np.repeat(piece.column("target").to_numpy(zero_copy_only=False).astype(bool), np.diff(at))
+        target = np.bincount(which[chosen], minlength=len(word)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(every.astype(np.int64)),
+                                           pa.array(target)], ["w", "every", "target"])
 
-    return (map_texts(marked.select("text", "target"), work, "v long, w long, every long, target long")
-            .groupBy("v", "w").agg(F.sum("every").alias("every"), F.sum("target").alias("target")))
+    return (map_texts(marked.select("text", "target"), work, "w long, every long, target long")
+            .groupBy("w").agg(F.sum("every").alias("every"), F.sum("target").alias("target")))
 
 
 def _head(table: DataFrame, most: int):
@@ -124,98 +124,243 @@ def _head(table: DataFrame, most: int):
     return F.lit(False) if cut is None else level >= cut
 
 
-def _looked_up(rows: DataFrame, key: str, table: DataFrame) -> DataFrame:
-    """``rows`` joined to ``table`` by ``key``: ranked words by broadcast, the rest by shuffle."""
-    ranked = F.col(key) >= 0
-    return (rows.where(ranked).join(F.broadcast(table.where(ranked)), key)
-            .unionByName(rows.where(~ranked).join(table.where(~ranked), key)))
-
-
-def _logs(**count) -> list:
-    """log P(w | v) under either model, from the counts and the columns of both words."""
-    return [F.log((n + F.col(f"k_{c}") * F.col(f"p_{c}")) / (F.col(f"c_{c}") + F.col(f"k_{c}"))).alias(f"log_{c}")
-            for c, n in count.items()]
-
-
-def bigram_logs(marked: DataFrame, codes: Codes) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Written tables: (key, every, log_target, log_every) of bigrams, and what ranked words and contexts add."""
-    counts, path = written(bigram_counts(marked, codes), "lm-bigrams")
-    words, _ = written(counts.groupBy("w").agg(F.sum("every").alias("every"), F.sum("target").alias("target")),
-                        "lm-words")
-    contexts, _ = written(counts.groupBy("v").agg(
-        F.sum("target").cast("double").alias("c_target"), F.sum("every").cast("double").alias("c_every"),
-        (F.count_if(F.col("target") > 0) + 1.0).alias("k_target"), (F.count("*") + 1.0).alias("k_every")),
-        "lm-contexts")
-    size = words.agg(F.count("*").alias("n"), F.sum("every").alias("every"), F.sum("target").alias("target")).first()
-    words = words.select("w", *[((F.col(c) + LEAST) / F.lit(max((size[c] or 0) + LEAST * size["n"], LEAST)))
-                                .alias(f"p_{c}") for c in ("target", "every")])
-    kept = counts.where((F.col("every") > 1) | (F.col("v") < 0) | (F.col("w") < 0))
-    both = _looked_up(_looked_up(kept, "w", words), "v", contexts)
-    table, _ = written(both.select(F.expr(_KEY).alias("key"), "every",
-                                    *_logs(target=F.col("target"), every=F.col("every"))), "lm-logs")
-    discard(marked.sparkSession, path)
-    return table, words.where("w >= 0"), contexts.where("v >= 0")
-
-
-def scores(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+class _Vocabulary:
+    """The ranked words with their probabilities (bounded by HEAD_WORDS), and the totals of all."""
+
+    def __init__(self, words: DataFrame):
+        head = words.where(_head(words, HEAD_WORDS)).toArrow()
+        size = words.agg(F.count("*").alias("n"), F.sum("every").alias("every"), F.sum("target").alias("target")).first()
+        word, every, target = (head.column(c).to_numpy() for c in ("w", "every", "target"))
+        order = np.lexsort((word, -every))
+        self.tokens = size["every"] or 0
+        self._total = {c: max((size[c] or 0) + LEAST * size["n"], LEAST) for c in ("every", "target")}
+        self.ranked = word[order].view(np.uint64)
+        # the rank of a word is its place, from 1
+        self.p = {c: self.probability(np.concatenate([[0], n[order]]), c)
+                  for c, n in (("every", every), ("target", target))}
+
+    def probability(self, count: np.ndarray, which: str) -> np.ndarray:
+        return (count + LEAST) / self._total[which]
+
+
+def _part_of(before: np.ndarray, own: np.ndarray, whole: int, parts: int) -> np.ndarray:
+    """The part of every bigram; ``whole`` is that of the slice."""
+    hot_v, hot_w = (before >= 0) & (before <= HOT), (own >= 0) & (own <= HOT)
+    v, w = before.astype(np.uint64), own.astype(np.uint64)
+    key = np.where(hot_v, mix64(v + np.uint64(1)) ^ w, v)
+    part = (mix64(key + np.uint64(7)) % np.uint64(parts)).astype(np.int64)
+    return np.where(hot_v & hot_w, whole, part)
+
+
+def _packs(piece: pa.RecordBatch, codes: Codes, parts: int) -> pa.RecordBatch:
+    """One row for every part that a slice's bigrams meet; the slice's own part also gets its documents."""
+    before, own, row, n = _bigrams(piece.column("text"), codes)
+    keys = piece.column("row").to_numpy().view(np.uint64)
+    # the same rows in the same order give the same name, also where a lost task is run again
+    name = int(mix64(np.cumsum(mix64(keys + np.arange(len(keys), dtype=np.uint64)))[-1:])[0])
+    whole = name % parts
+    target = piece.column("target").to_numpy(zero_copy_only=False).astype(np.int64)
+    # ranked words fit in one key; others keep both codes
+    ranked = (before >= 0) & (own >= 0)
+    order = np.argsort(np.where(ranked, (before << RANK_BITS) | own, 0), kind="stable")
+    if not ranked.all():
+        order = np.lexsort((row, own, before))
+    before, own, row = before[order], own[order], row[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (before[1:] != before[:-1]) | (own[1:] != own[:-1]) | (row[1:] != row[:-1])
+    first = np.flatnonzero(new)
+    times = np.diff(np.append(first, len(row)))
+    before, own, row = before[first], own[first], row[first]
+    part = _part_of(before, own, whole, parts)
+    by_part = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+    before, own, row, times, part = (a[by_part] for a in (before, own, row, times, part))
+    names = np.unique(np.append(part, whole))
+    starts, ends = np.searchsorted(part, names), np.searchsorted(part, names, side="right")
+    sizes, blobs, ids, tokens = [], [], [], []
+    for p, s, e in zip(names, starts, ends):
+        sizes.append(e - s)
+        blobs.append(_packed(np.diff(before[s:e], prepend=0), own[s:e], 2 * row[s:e] + target[row[s:e]], times[s:e]))
+        ids.append(piece.column("doc_id").to_pylist() if p == whole else None)
+        tokens.append(n if p == whole else None)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(names), pa.array(np.full(len(names), name, np.uint64).view(np.int64)),
+         pa.array(np.array(sizes, np.int32)), pa.array(blobs, pa.binary()),
+         pa.array(ids, pa.list_(pa.int64())), pa.array(tokens, pa.list_(pa.int64()))],
+        ["part", "slice", "size", "pairs", "ids", "tokens"])
+
+
+_PACKS = "part long, slice long, size int, pairs binary, ids array<long>, tokens array<long>"
+
+
+class _Part:
+    """The bigrams of one part: its distinct ones with their counts, and its pairs with documents."""
+
+    def __init__(self, table: pa.Table):
+        self.sizes = table.column("size").to_numpy()
+        pieces = [_unpacked(blob.as_py(), int(n), 4) for blob, n in zip(table.column("pairs"), self.sizes)]
+        v, w, doc, self.times = (np.concatenate(c) for c in zip(*((np.cumsum(p[0]), *p[1:]) for p in pieces)))
+        self.row, chosen = doc >> 1, (doc & 1).astype(bool)
+        if (v < 0).any() or (w < 0).any():
+            order = np.lexsort((w, v))
+        else:
+            order = np.argsort((v << RANK_BITS) | w, kind="stable")
+        v, w = v[order], w[order]
+        new = np.ones(len(v), bool)
+        new[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
+        self.v, self.w = v[new], w[new]
+        #: the distinct bigram of every pair
+        self.which = np.empty(len(v), np.int64)
+        self.which[order] = np.cumsum(new) - 1
+        times, n = self.times.astype(float), len(self.v)
+        self.count = {"every": np.bincount(self.which, times, n),
+                      "target": np.bincount(self.which[chosen], times[chosen], n)}
+        self.hot_v = (self.v >= 0) & (self.v <= HOT)
+        self.hot = self.hot_v & (self.w >= 0) & (self.w <= HOT)
+
+
+def _totals(packs: DataFrame) -> DataFrame:
+    """(kind, a, b, every, target) that parts share, added over parts.
+
+    Kind 0: bigram a, b of hot words.  Kind 1: tokens after the hot word a whose word isn't
+    hot; kind 2: how many such words follow it.  Kind 3: part a meets the unranked word b.
+    """
+    def work(table: pa.Table) -> pa.Table:
+        part = _Part(table)
+        once = part.hot_v & ~part.hot
+        seen = np.bincount(part.v[once], minlength=HOT + 1)
+        after = np.flatnonzero(seen)
+        rare = np.unique(part.w[part.w < 0])
+        zero = np.zeros
+        columns = []
+        for kind, a, b, every, target in (
+                (0, part.v[part.hot], part.w[part.hot], part.count["every"][part.hot], part.count["target"][part.hot]),
+                (1, after, zero(len(after)), *(np.bincount(part.v[once], part.count[c][once], HOT + 1)[after]
+                                               for c in ("every", "target"))),
+                (2, after, zero(len(after)), seen[after],
+                 np.bincount(part.v[once], part.count["target"][once] > 0, HOT + 1)[after]),
+                (3, np.full(len(rare), table.column("part")[0].as_py()), rare, zero(len(rare)), zero(len(rare)))):
+            # hashes must not pass through doubles
+            columns.append([np.asarray(c).astype(np.int64) for c in (np.full(len(a), kind), a, b, every, target)])
+        return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*columns)],
+                                    ["kind", "a", "b", "every", "target"])
+
+    return (packs.groupBy("part").applyInArrow(work, "kind long, a long, b long, every long, target long")
+            .groupBy("kind", "a", "b").agg(F.sum("every").alias("every"), F.sum("target").alias("target")))
+
+
+def _hot_tables(shared: DataFrame) -> tuple[dict, dict, dict]:
+    """Counts of hot bigrams, and tokens and followers of hot words: fixed size, by HOT."""
+    got = shared.where("kind < 3").toArrow()
+    kind, a, b = (got.column(c).to_numpy() for c in ("kind", "a", "b"))
+    pair, tokens, kinds = {}, {}, {}
+    for c in ("every", "target"):
+        n = got.column(c).to_numpy().astype(float)
+        pair[c] = np.zeros((HOT + 1, HOT + 1))
+        pair[c][a[kind == 0], b[kind == 0]] = n[kind == 0]
+        tokens[c] = pair[c].sum(axis=1) + np.bincount(a[kind == 1], n[kind == 1], HOT + 1)
+        kinds[c] = (pair[c] > 0).sum(axis=1) + np.bincount(a[kind == 2], n[kind == 2], HOT + 1) + 1.0
+    return pair, tokens, kinds
+
+
+def _sums(packs: DataFrame, rare: DataFrame, vocabulary: _Vocabulary, hot: tuple[dict, dict, dict]) -> DataFrame:
+    """(slice, size, sums, ids, tokens): every part's sums of logarithms of a slice's documents, packed."""
+    pair, tokens, kinds = hot
+    # tasks get the ranked words' probabilities, not their hashes
+    p_ranked, probability = vocabulary.p, vocabulary.probability
+
+    def work(table: pa.Table, words: pa.Table) -> pa.Table:
+        if table.num_rows == 0:
+            return _no_rows
+        part = _Part(table)
+        context = np.flatnonzero(np.concatenate([[True], part.v[1:] != part.v[:-1]])[:len(part.v)])
+        which = np.cumsum(np.concatenate([[0], part.v[1:] != part.v[:-1]])[:len(part.v)])
+        order = np.argsort(words.column("w").to_numpy(), kind="stable")
+        known = words.column("w").to_numpy()[order]
+        ranked, place = part.w >= 0, np.searchsorted(known, part.w)
+        logs = {}
+        for c in ("every", "target"):
+            n = part.count[c].copy()
+            n[part.hot] = pair[c][part.v[part.hot], part.w[part.hot]]
+            # a first word that isn't hot has all its bigrams here
+            total = np.bincount(which, n, len(context))[which] if len(n) else n
+            follow = np.bincount(which, n > 0, len(context))[which] + 1.0 if len(n) else n
+            total[part.hot_v], follow[part.hot_v] = tokens[c][part.v[part.hot_v]], kinds[c][part.v[part.hot_v]]
+            p = np.empty(len(n))
+            p[ranked] = p_ranked[c][part.w[ranked]]
+            p[~ranked] = probability(words.column(c).to_numpy()[order][place[~ranked]], c)
+            logs[c] = np.log((n + follow * p) / (total + follow))[part.which] * part.times
+        sizes, sums, start = [], [], 0
+        for n in part.sizes.tolist():
+            rows, at = np.unique(part.row[start:start + n], return_inverse=True)
+            own = [np.rint(np.bincount(at, logs[c][start:start + n], len(rows)) / UNIT) for c in ("target", "every")]
+            sizes.append(len(rows))
+            sums.append(_packed(np.diff(rows, prepend=0), *own))
+            start += n
+        return pa.Table.from_arrays(
+            [table.column("slice"), pa.array(sizes, pa.int32()), pa.array(sums, pa.binary()),
+             table.column("ids"), table.column("tokens")], _no_rows.schema.names)
+
+    return packs.groupBy("part").cogroup(rare.groupBy("part")).applyInArrow(
+        work, "slice long, size int, sums binary, ids array<long>, tokens array<long>")
+
+
+_no_rows = pa.schema([("slice", pa.int64()), ("size", pa.int32()), ("sums", pa.binary()),
+                      ("ids", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))]).empty_table()
+
+
+def _scored(table: pa.Table) -> pa.Table:
+    """The scores of a slice's documents from the sums of all parts.
+
+    Slices of equal rows in equal order share a name: their sums come as often as they do.
+    """
+    owners = [i for i, ids in enumerate(table.column("ids")) if ids.is_valid]
+    ids, n = table.column("ids")[owners[0]].as_py(), np.array(table.column("tokens")[owners[0]].as_py(), np.int64)
+    sums = np.zeros((2, len(ids)), np.int64)
+    for size, blob in zip(table.column("size").to_pylist(), table.column("sums")):
+        step, target, every = _unpacked(blob.as_py(), size, 3)
+        at = np.cumsum(step)
+        sums[0, at] += target
+        sums[1, at] += every
+    times, none = len(owners), n == 0
+    target, every = -(sums // times) * UNIT / np.maximum(n, 1)
+    one = pa.table([pa.array(ids, pa.int64()), pa.array(n), pa.array(target, mask=none), pa.array(every, mask=none),
+                    pa.array(np.where(none, 0.0, target - every))],
+                   names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+    return pa.concat_tables([one] * times)
+
+
+def scores(docs: DataFrame, target_ids: DataFrame, shuffled: bool = False) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) of ``docs(doc_id, text)``.
 
-    The target is the documents whose id is in the distinct ``target_ids(target_id)``.
+    The target is the documents whose id is in the distinct ``target_ids(target_id)``;
+    ``shuffled`` says that they are joined by a shuffle, whose order of rows may change
+    when a lost task is run again: rows are sorted there, as slices are named by theirs.
     """
-    marked = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    spark = docs.sparkSession
+    marked = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
               .join(target_ids, F.col("doc_id") == F.col("target_id"), "left")
               .select("doc_id", "text", F.col("target_id").isNotNull().alias("target")))
-    codes = rank_words(marked)
-    logs, words, contexts = bigram_logs(marked, codes)
-    head = _head(logs, HEAD_BIGRAMS)
-    known = logs.where(head).select("key", "log_target", "log_every").toArrow()
-    order = np.argsort(known.column("key").to_numpy(), kind="stable")
-    keys, log_target, log_every = (known.column(c).to_numpy()[order] for c in ("key", "log_target", "log_every"))
-
-    def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        before, own, row, n = _bigrams(piece.column("text"), codes)
-        key, texts = _key(before, own), len(n)
-        at = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
-        hot = keys[at] == key if len(keys) else np.zeros(len(key), bool)
-        sums = [np.bincount(row[hot], log[at[hot]], texts).astype(float) for log in (log_target, log_every)]
-        # the other bigrams, each text's distinct ones
-        row, key = row[~hot], key[~hot]
-        order = np.lexsort((key, row))
-        row, key = row[order], key[order]
-        first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (key[1:] != key[:-1])])[:len(key)])
-        times = np.diff(np.append(first, len(key)))
-        ids, target = piece.column("row").to_numpy(), piece.column("target").to_numpy(zero_copy_only=False)
-        # a text's own row comes first; its key spreads it and its 0 times keep it out of any match
-        own_key = (mix64(ids.astype(np.uint64) + np.uint64(1)) | np.uint64(1 << 63)).view(np.int64)
-        none = pa.nulls(len(first), pa.float64())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([ids, ids[row[first]]])),
-             pa.concat_arrays([piece.column("doc_id").cast(pa.int64()), pa.nulls(len(first), pa.int64())]),
-             pa.concat_arrays([pa.array(n.astype(np.int64)), pa.nulls(len(first), pa.int64())]),
-             pa.concat_arrays([pa.array(sums[0]), none]), pa.concat_arrays([pa.array(sums[1]), none]),
-             pa.array(np.concatenate([own_key, key[first]])),
-             pa.array(np.concatenate([np.zeros(texts, np.int32), times]).astype(np.int32)),
-             pa.array(np.concatenate([target, target[row[first]]]).astype(bool))],
-            ["row", "doc_id", "n_tokens", "s_target", "s_every", "key", "times", "target"])
-
-    parts = map_texts(marked.withColumn("row", F.monotonically_increasing_id()), work,
-                      "row long, doc_id long, n_tokens long, s_target double, s_every double, key long, "
-                      "times int, target boolean")
-    rest = logs.where(~head).select("key", "log_target", "log_every")
-    met = (parts.join(rest, "key", "left")
-           # ranked bigrams without a row: once in all documents, here
-           .withColumn("once", (F.col("key") >= 0) & F.col("log_every").isNull())
-           .withColumn("v", F.when(F.col("once"), F.shiftright("key", RANK_BITS)))
-           .withColumn("w", F.when(F.col("once"), F.col("key").bitwiseAND(F.lit((1 << RANK_BITS) - 1))))
-           .join(F.broadcast(words), "w", "left").join(F.broadcast(contexts), "v", "left"))
-    once = dict(zip(("target", "every"), _logs(target=F.col("target").cast("double"), every=F.lit(1.0))))
-    total = {c: F.sum(F.coalesce(f"s_{c}", F.lit(0.0))
-                      + F.when(F.col("times") > 0, F.col("times") * F.coalesce(f"log_{c}", once[c])).otherwise(0.0))
-             for c in once}
-    done = met.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"),
-                                  total["target"].alias("target"), total["every"].alias("every"))
-    some = F.col("n_tokens") > 0
-    return done.select(
-        "doc_id", "n_tokens", F.when(some, -F.col("target") / F.col("n_tokens")).alias("target_loss"),
-        F.when(some, -F.col("every") / F.col("n_tokens")).alias("background_loss"),
-        F.when(some, (F.col("every") - F.col("target")) / F.col("n_tokens")).otherwise(0.0).alias("score"))
+    words, words_path = written(count_words(marked), "lm-words")
+    vocabulary = _Vocabulary(words)
+    codes, parts = Codes(vocabulary.ranked), max(1, math.ceil(vocabulary.tokens / PART_TOKENS))
+    named = marked.withColumn("row", F.xxhash64("doc_id", "text"))
+    if shuffled:
+        named = named.sortWithinPartitions("doc_id", "row")
+    bounded_batches(spark)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch):
+                yield _packs(piece, codes, parts)
+
+    packs, packs_table = bucketed(named.mapInArrow(send, _PACKS), "lm-packs", "part", min(parts, MOST_BUCKETS))
+    shared, shared_path = written(_totals(packs), "lm-shared")
+    hot = _hot_tables(shared)
+    rare = (shared.where("kind = 3").select(F.col("a").alias("part"), F.col("b").alias("w"))
+            .join(words, "w").select("part", "w", "every", "target"))
+    done, _ = written(_sums(packs, rare, vocabulary, hot).groupBy("slice").applyInArrow(
+        _scored, "doc_id long, n_tokens long, target_loss double, background_loss double, score double"), "lm-scores")
+    for path in (words_path, shared_path):
+        discard(spark, path)
+    drop_bucketed(spark, packs_table)
+    return done

@@ -51,10 +51,26 @@ def test_scores_equal_brute_force(spark, monkeypatch):
     table = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
     rows = [doc(r["doc_id"], r["text"]) for r in table]
     agree(spark, rows, [r[0] for r in rows if r[0] % 3 == 0])
-    # the head says where a count is looked up, not what it is
+    # ranks and parts say where a count is looked up, not what it is
     monkeypatch.setattr(lm_tables, "HEAD_WORDS", 40)
-    monkeypatch.setattr(lm_tables, "HEAD_BIGRAMS", 50)
+    monkeypatch.setattr(lm_tables, "PART_TOKENS", 300)
     agree(spark, rows[:60], [r[0] for r in rows[:60:2]])
+    monkeypatch.setattr(lm_tables, "MOST_BUCKETS", 3)
+    monkeypatch.setattr(lm_score, "BROADCAST_IDS", 2)
+    monkeypatch.setattr(lm_tables, "HEAD_WORDS", 2000)
+    agree(spark, rows[:40] + rows[:7], [r[0] for r in rows[:40:2]])
+
+
+def test_no_rows_no_targets_equal_slices(spark):
+    agree(spark, [], [1])
+    agree(spark, [doc(1, None), doc(None, "")], [1])
+    agree(spark, odd_rows()[:11], [])
+    # equal rows in several partitions make slices of one name
+    ids = spark.createDataFrame([(1,)], "doc_id long")
+    rows = [doc(1, "a b c"), doc(2, "b c d")]
+    several = frame(spark, rows).coalesce(1).union(frame(spark, rows).coalesce(1))
+    got = sorted((r["doc_id"], r["n_tokens"], r["score"]) for r in lm_score.cross_entropy_difference(several, ids).collect())
+    assert len(got) == 4 and got[0] == got[1] and got[2] == got[3] and got[0][2] < got[2][2]
 
 
 def test_rare_words_keep_their_bigrams(spark):

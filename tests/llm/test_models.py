@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from strata.llm import embed_dedup, lm_score, quality, toxicity, url_filter
+from strata.llm import embed_dedup, quality, toxicity, url_filter
 
 from .helpers import MEDIUM, PROSE, SMALL, doc, frame, odd_rows
 
@@ -108,50 +108,6 @@ def test_label_model_finds_voters_and_correlations():
     assert share[3] < share[0] and share[4] < share[0]
 
 
-# ---------------------------------------------------------------- LM scores
-
-
-def plain_tokens(text):
-    return re.findall(rb"[a-z0-9\x80-\xff]+", (text or "").encode().lower())
-
-
-def test_lm_counts_and_losses(spark):
-    rows = odd_rows() + [doc(20 + i, f"{PROSE} number {i}") for i in range(9)]
-    docs = frame(spark, rows)
-    ids = spark.createDataFrame([(7,), (8,), (21,), (21,), (None,)], "doc_id long")
-    model = lm_score.fit(docs, ids)
-    got = lm_score.score(docs, model).collect()
-    assert len(got) == len(rows)
-    text = {r[0]: r[1] for r in rows}
-    for r in got:
-        n = len(plain_tokens(text[r["doc_id"]]))
-        assert r["n_tokens"] == n
-        assert (r["target_loss"] is None) == (n == 0)
-        if n:
-            assert math.isclose(r["score"], r["target_loss"] - r["background_loss"], abs_tol=1e-9)
-    said = {r["doc_id"]: r["score"] for r in got}
-    assert said[7] < said[12] and said[1] == 0.0
-    # the losses by hand: two class bigrams and two cells for a text of two tokens
-    texts = pa.array(["quick brown"])
-    n, target, _ = model.losses(texts)
-    cells, at = lm_score._cells(texts)
-    c = model.classes[cells]
-    pair = model.pair_logs[0].reshape(lm_score.FREQUENT, -1)
-    want = -(pair[0, c[0]] + pair[c[0], c[1]] + model.cell_logs[0][cells].sum()) / 2
-    assert n.tolist() == [2] and math.isclose(target[0], want, rel_tol=1e-5)
-    assert np.allclose(np.exp(pair).sum(axis=1), 1, atol=1e-3)  # a distribution after every class
-    assert lm_score.cross_entropy_difference(frame(spark, []), ids).collect() == []
-
-
-def test_lm_counts_all_rows(spark):
-    docs, _ = tables(spark, SMALL)
-    marked = docs.selectExpr("text", "doc_id % 3 = 0 as target")
-    every, target = lm_score._table(lm_score._summed(marked, None), lm_score.CELLS)
-    rows = marked.collect()
-    assert every.sum() == sum(len(plain_tokens(r["text"])) for r in rows)
-    assert target.sum() == sum(len(plain_tokens(r["text"])) for r in rows if r["target"])
-
-
 # ---------------------------------------------------------------- embeddings
 
 SCHEMA = "vec_id long, embedding array<float>, label int, weight double, key string, rep long"

@@ -45,7 +45,7 @@ HEAD_WORDS = (1 << RANK_BITS) - 1
 HOT_BITS = 8
 HOT = (1 << HOT_BITS) - 1
 #: Tokens of a part, about; Spark allows MOST_BUCKETS buckets, and a bucket may hold several parts.
-PART_TOKENS, MOST_BUCKETS = 4_000_000, 100_000
+PART_TOKENS, MOST_BUCKETS = 2_000_000, 100_000
 #: Pseudo-count of every word of the vocabulary.
 LEAST = 0.1
 #: Sums of logarithms are kept in these units.
@@ -197,23 +197,30 @@ class _Part:
 
     def __init__(self, table: pa.Table):
         self.sizes = table.column("size").to_numpy()
-        pieces = [_unpacked(blob.as_py(), int(n), 4) for blob, n in zip(table.column("pairs"), self.sizes)]
-        v, w, doc, self.times = (np.concatenate(c) for c in zip(*((np.cumsum(p[0]), *p[1:]) for p in pieces)))
-        self.row, chosen = doc >> 1, (doc & 1).astype(bool)
+        total, at = int(self.sizes.sum()), 0
+        v, w = np.empty(total, np.int64), np.empty(total, np.int64)
+        self.row, self.times, chosen = np.empty(total, np.int32), np.empty(total, np.int32), np.empty(total, bool)
+        for blob, n in zip(table.column("pairs"), self.sizes.tolist()):
+            here = slice(at, at + n)
+            step, w[here], doc, self.times[here] = _unpacked(blob.as_py(), n, 4)
+            v[here], self.row[here], chosen[here] = np.cumsum(step), doc >> 1, doc & 1
+            at += n
         if (v < 0).any() or (w < 0).any():
             order = np.lexsort((w, v))
         else:
             order = np.argsort((v << RANK_BITS) | w, kind="stable")
-        v, w = v[order], w[order]
-        new = np.ones(len(v), bool)
+        new = np.ones(total, bool)
+        for k in (v, w):
+            k[:] = k[order]
         new[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
         self.v, self.w = v[new], w[new]
+        del v, w
         #: the distinct bigram of every pair
-        self.which = np.empty(len(v), np.int64)
-        self.which[order] = np.cumsum(new) - 1
-        times, n = self.times.astype(float), len(self.v)
-        self.count = {"every": np.bincount(self.which, times, n),
-                      "target": np.bincount(self.which[chosen], times[chosen], n)}
+        self.which = np.empty(total, np.int32)
+        self.which[order] = np.cumsum(new, dtype=np.int32) - 1
+        del order
+        self.count = {"every": np.bincount(self.which, self.times, len(self.v)),
+                      "target": np.bincount(self.which[chosen], self.times[chosen], len(self.v))}
         self.hot_v = (self.v >= 0) & (self.v <= HOT)
         self.hot = self.hot_v & (self.w >= 0) & (self.w <= HOT)
 
@@ -288,11 +295,13 @@ def _sums(packs: DataFrame, rare: DataFrame, vocabulary: _Vocabulary, hot: tuple
             p = np.empty(len(n))
             p[ranked] = p_ranked[c][part.w[ranked]]
             p[~ranked] = probability(words.column(c).to_numpy()[order][place[~ranked]], c)
-            logs[c] = np.log((n + follow * p) / (total + follow))[part.which] * part.times
+            logs[c] = np.log((n + follow * p) / (total + follow))
         sizes, sums, start = [], [], 0
         for n in part.sizes.tolist():
-            rows, at = np.unique(part.row[start:start + n], return_inverse=True)
-            own = [np.rint(np.bincount(at, logs[c][start:start + n], len(rows)) / UNIT) for c in ("target", "every")]
+            here = slice(start, start + n)
+            rows, at = np.unique(part.row[here].astype(np.int64), return_inverse=True)
+            own = [np.rint(np.bincount(at, logs[c][part.which[here]] * part.times[here], len(rows)) / UNIT)
+                   for c in ("target", "every")]
             sizes.append(len(rows))
             sums.append(_packed(np.diff(rows, prepend=0), *own))
             start += n

@@ -110,6 +110,36 @@ def test_trees_and_thresholds():
     assert t[s >= cut].mean() >= pii.PRECISION and cut >= 0.5
 
 
+def test_learned_proposals_add_to_the_base(spark):
+    """Phones in one format are the rule's but for a few without the plus sign."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(400):
+        phone = f"({rng.integers(100, 999)}) 555-{rng.integers(1000, 9999)}"
+        rows.append(doc(i, f"call me on phone {'+1 ' if i % 25 else ''}{phone} today"))
+        rows.append(doc(1000 + i, f"ratio {rng.integers(10, 99)}/{rng.integers(1000, 9999)}/{rng.integers(10, 99)}"))
+    got = {r["doc_id"]: r for r in pii.find_pii(frame(spark, rows)).collect()}
+    assert all(got[i]["n_phone"] == (1 if i % 25 else 0) for i in range(400))
+    added = [i for i in range(0, 400, 25) if got[i]["spans"]]
+    assert len(added) >= 12
+    assert not any(got[1000 + i]["spans"] for i in range(400))
+
+
+def test_obfuscated_mails_are_added(spark):
+    """No rule finds a spelt-out mail; the trees know its form and context from rewritten ones."""
+    rng = np.random.default_rng(6)
+    plain = "the look of old stones and the dot we saw later stays with us for long "
+    rows = [doc(i, f"{plain}please write to mail user{rng.integers(10, 9999)}@host{i % 7}.example.com soon")
+            for i in range(300)]
+    spelt = ["name77 (at) host3 dot example dot com", "name77 [at] host3.example.com", "name77＠host3.example.com"]
+    rows += [doc(1000 + i, f"{plain}please write to mail {form} soon") for i, form in enumerate(spelt)]
+    rows += [doc(2000 + i, f"{plain}we look at stones dot nothing else {i}") for i in range(50)]
+    got = {r["doc_id"]: r for r in pii.find_pii(frame(spark, rows)).collect()}
+    assert all(got[i]["n_email"] == 1 and got[i]["spans"].count("email") == 1 for i in range(300))
+    assert all(got[1000 + i]["n_email"] == 0 and got[1000 + i]["spans"].startswith("email:") for i in range(3))
+    assert not any(got[2000 + i]["spans"] for i in range(50))
+
+
 def test_pii_query_matches_the_patterns(spark):
     rows = odd_rows() + [doc(50, "é a@b.co"), doc(51, "4111111111111111")]
     table = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]

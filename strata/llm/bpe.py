@@ -22,13 +22,15 @@ import hashlib
 import json
 import re
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StringType, StructField, StructType
 
-from .textscan import ByteHashes, map_texts
+from .textscan import ByteHashes, bounded_batches, map_texts
 
 CACHE = 300_000
 #: Words of more bytes than this are merged alone.
@@ -338,3 +340,43 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
             ["doc_id", "n_tokens", "ids"])
 
     return _encoded(docs, path, make, "doc_id long, n_tokens long, ids array<int>")
+
+
+#: Ids that are decoded at once (a longer single list is decoded alone).
+SLICE_IDS = 1 << 18
+
+
+def decode_ids(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df(..., ids array<int>)`` with the decoded text of every row as ``decoded``.
+
+    Null lists give null and empty ones the empty text; null ids and ids outside the
+    vocabulary are left out, as the tokenizers library does.
+    """
+    token, state = Bpe(path).token, {}
+    bounded_batches(df.sparkSession)
+
+    def decoded(ids: pa.Array) -> pa.Array:
+        if "blob" not in state:  # one for each task
+            state["blob"] = _blob(token)
+        size = ids.value_lengths().fill_null(0).to_numpy()
+        flat, row = ids.flatten(), np.repeat(np.arange(len(ids)), size)
+        known = flat.is_valid().to_numpy(zero_copy_only=False)
+        flat = flat.fill_null(0).to_numpy().astype(np.int64)
+        known &= (flat >= 0) & (flat < len(token))
+        at = np.concatenate([[0], np.cumsum(np.bincount(row[known], minlength=len(ids)))]).astype(np.int64)
+        texts = [str(t, "utf-8") for t in Encoder.joined(flat[known], at, state["blob"])]
+        return pa.array(texts, pa.string(), mask=ids.is_null().to_numpy(zero_copy_only=False))
+
+    def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum(batch.column("ids").value_lengths().fill_null(0).to_numpy())
+            start = 0
+            while start < batch.num_rows:
+                done = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, done + SLICE_IDS, side="right")))
+                piece = batch.slice(start, stop - start)
+                yield pa.RecordBatch.from_arrays([*piece.columns, decoded(piece.column("ids"))],
+                                                 [*piece.schema.names, "decoded"])
+                start = stop
+
+    return df.mapInArrow(run_batches, StructType([*df.schema.fields, StructField("decoded", StringType())]))

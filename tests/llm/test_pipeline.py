@@ -11,7 +11,8 @@ from .test_text_operators import plain_base, plain_matches
 def test_stages(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
-    assert list(stages) == ["language ID", "MinHash near-dedup", "benchmark decontamination", "PII", "BPE encoding"]
+    assert list(stages) == ["language ID", "MinHash near-dedup", "benchmark decontamination", "PII",
+                            "BPE encoding and decoding"]
     rows = {r["doc_id"]: r["text"] for r in docs.collect()}
 
     kept = corpus_pipeline.language(spark, docs, SMALL)
@@ -38,7 +39,7 @@ def test_stages(spark):
 
 def test_run(spark):
     out = corpus_pipeline.run(spark, SMALL)
-    assert out.columns == ["doc_id", "n_tokens", "ids"]
+    assert out.columns == ["doc_id", "n_tokens", "ids", "decoded"]
     assert 100 < out.count() < 200
 
 

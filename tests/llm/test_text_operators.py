@@ -282,6 +282,21 @@ def test_bpe_forgets_when_full(library, monkeypatch):
         check(library, small, [f"{PROSE} {k} word{k}", PROSE[::-1]])
 
 
+def test_decoding_of_ids(spark, library):
+    """Decoded lists equal the library's text; null lists, null and unknown ids are defined."""
+    table = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    rows = odd_rows() + [doc(100 + i, t) for i, t in table] + [doc(99, "a <unk> b")]
+    for r in bpe.decode_ids(bpe.encode(frame(spark, rows))).collect():
+        assert r["decoded"] == library.decode(r["ids"], skip_special_tokens=False)
+    few = library.encode("two words", add_special_tokens=False).ids
+    odd = [(1, None), (2, []), (3, [None, *few, None]), (4, [*few, -5, 10 ** 9]), (5, few * 200_000), (6, [None])]
+    got = {r["doc_id"]: r["decoded"] for r in
+           bpe.decode_ids(spark.createDataFrame(odd, "doc_id long, ids array<int>")).collect()}
+    said = library.decode(few, skip_special_tokens=False)
+    assert (got[1], got[2], got[3], got[4], got[6]) == (None, "", said, said, "")
+    assert got[5] == library.decode(few * 200_000, skip_special_tokens=False)
+
+
 def test_bpe_queries(spark, library):
     rows = odd_rows()
     got = bpe.digests(frame(spark, rows)).collect()

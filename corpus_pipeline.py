@@ -1,7 +1,7 @@
 """Corpus cleaning in stages: language, near copies, benchmark passages, personal data, tokens.
 
 Each stage takes what the one before kept, as written Parquet, and returns the
-columns of ``documents`` (the last one the token ids).  A lost executor
+columns of ``documents`` (the last one the token ids and their decoded text).  A lost executor
 repeats tasks of one stage only.
 """
 
@@ -35,8 +35,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document."""
-    return bpe.encode(docs)
+    """Token ids of every document, and the text that they decode to."""
+    return bpe.decode_ids(bpe.encode(docs))
 
 
 STAGES = [
@@ -44,7 +44,7 @@ STAGES = [
     ("MinHash near-dedup", near_copies),
     ("benchmark decontamination", benchmark_passages),
     ("PII", personal_data),
-    ("BPE encoding", tokens),
+    ("BPE encoding and decoding", tokens),
 ]
 
 #: Trained stages and merges can't be stated in SQL; tests hold stages against brute force.

@@ -58,7 +58,9 @@ def q_als_score_facts(spark, sf_dir):
     item = model.itemFactors.select(F.col("id").alias("item_id"), F.col("features").alias("vf"))
     dot = F.aggregate(F.zip_with("uf", "vf", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0),
                       lambda acc, x: acc + x)
-    scored = model.transform(ratings.select("user_id", "item_id", "rating")).join(user, "user_id").join(item, "item_id")
+    # each side's factors join next to the model's own look-up by the same key: no further exchange of the ratings
+    known = ratings.select("user_id", "item_id", "rating").join(user, "user_id")
+    scored = model.transform(known).join(item, "item_id")
     return scored.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n_ratings"), F.min("rating").alias("lowest"), F.max("rating").alias("highest"),
         F.min(F.abs(dot - F.col("prediction")) < 1e-3).alias("scores_are_products"))

@@ -57,3 +57,37 @@ def test_pruned_lists_are_those_of_full_scoring(spark, block, blocks):
     assert row["pairs"] == len(users) * len(items) and 0 < row["scored"] <= row["pairs"]
     if block < 10:
         assert row["scored"] < row["pairs"]
+
+
+def _small_model(spark):
+    rng = np.random.default_rng(6)
+    ratings = spark.createDataFrame([(int(u), int(i), float(rng.integers(1, 6))) for u in range(30) for i in range(50)
+                                     if rng.random() < 0.4], "user_id int, item_id int, rating double")
+    return RE.als("user_id", "item_id", "rating", rank=3, max_iter=3).fit(ratings)
+
+
+def test_full_lists_score_every_pair_over_several_passes(spark, monkeypatch):
+    monkeypatch.setattr(RE, "PASS_ITEMS", 256)
+    rng = np.random.default_rng(5)
+    users, items = (spark.createDataFrame([(i, [float(x) for x in rng.normal(size=4)]) for i in range(n)],
+                                          "id int, features array<float>") for n in (40, 700))
+    x, v = (np.array([r.features for r in f.orderBy("id").collect()]) for f in (users, items))
+    got = {(r.user_id, r["rank"]): r.item_id for r in RE._all_lists(users, items, "user_id", "item_id", 5).collect()}
+    for u in range(40):
+        assert [got[u, k + 1] for k in range(5)] == sorted(range(700), key=lambda i: (-(x[u] @ v[i]), i))[:5]
+
+
+def test_narrow_blocks_share_a_pass(spark, monkeypatch):
+    model, passes = _small_model(spark), []
+    plain = RE.written
+    monkeypatch.setattr(RE, "written", lambda df, name: passes.append(name) or plain(df, name))
+    RE.pruned_top_items(model, 5, block=2)
+    assert passes.count("top-state") == 2  # the first state and one pass over all 25 blocks
+
+
+def test_fits_drop_shuffles_and_use_few_blocks(spark, monkeypatch):
+    assert RE.als("u", "i", "r").getCheckpointInterval() == 1
+    monkeypatch.setattr(RE, "cluster_cores", lambda spark: 12)
+    assert RE.als_blocks(spark.range(100)) == 12
+    monkeypatch.setattr(RE, "FEW_RATINGS", 10)
+    assert RE.als_blocks(spark.range(100)) == 6 and RE.als_blocks(spark.range(100), 3) == 3

@@ -16,6 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Lines that a writing task builds at once.
+LINES = 128
+
+
 def _pattern(sep: str) -> str:
     return "".join(ch if ch.isalnum() else f"\\{ch}" for ch in sep)
 
@@ -74,7 +78,7 @@ def write_wide_matrix(cells: DataFrame, columns: list[str], path: str, sep: str
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([sep.join([corner, *columns])])], ["value"])
-        for batch in batches:
+        for batch in (b.slice(at, LINES) for b in batches for at in range(0, b.num_rows, LINES)):
             out = []
             for row, found in zip(batch.column("row").to_pylist(), batch.column("entries").to_pylist()):
                 line = ["0"] * len(columns)

@@ -88,3 +88,15 @@ def test_genre_ranking_small(spark):
     out = genre_ranking(assign, ratings, cat, "user_id", "item_id", "rating", "genres", 3.0, k=5)
     assert [(r["rank"], r["genre"], r["n"]) for r in out.orderBy("rank").collect()] == \
         [(1, "x", 1), (2, "y", 1)]
+
+
+def test_wide_lines_are_built_in_small_groups(spark, tmp_path, monkeypatch):
+    from strata.sources import wide
+    monkeypatch.setattr(wide, "LINES", 3)
+    cells = spark.range(40).selectExpr("id % 10 AS row", "concat('c', id % 7) AS column", "id + 1.0D AS value") \
+        .groupBy("row", "column").agg({"value": "max"}).toDF("row", "column", "value")
+    path = wide.write_wide_matrix(cells, [f"c{i}" for i in range(7)], str(tmp_path / "wide"), tasks=1)
+    found, rejects = wide.read_wide_matrix(spark, path)
+    assert rejects.count() == 0
+    assert {(int(r["row"]), r["column"], r["value"]) for r in found.collect()} == {
+        (r["row"], r["column"], r["value"]) for r in cells.collect()}

@@ -6,15 +6,17 @@ propose overlapping spans (obfuscated mails, loose digit groups); boosted
 trees score each proposal from its format and its context, and a proposal is
 added if its score passes a threshold calibrated for its kind.
 
-The trees learn without labels: on a bounded sample of documents a proposal
+The trees learn without labels, from all documents: a proposal
 that a base rule also found is positive, any other negative.  What the rules
 themselves decide by (check digits, ranges, the at and plus signs) is hidden from
 the features, and every base match is also shown rewritten into forms that no
 rule finds (``rewritten``: spelt-out at signs and dots, no plus sign or country
 code, other separators) in its own context, as a positive.  For counter-examples
-plain words are joined by a spelt-out at and dot.  A threshold is the lowest score
-from which on (positive + 1) / (all + 2) of the kind's held-out proposals is at least
-``PRECISION``, and 0.5 at least; a kind without one adds nothing.
+plain words are joined by a spelt-out at and dot.  Proposals of equal features and
+label are one row of a written table with their number, half of which is held out;
+a level of a tree is one pass that adds up its histograms in the tasks.  A threshold is the
+lowest of ``STEPS`` even scores from which on (positive + 1) / (all + 2) of the kind's held-out
+proposals is at least ``PRECISION``, and 0.5 at least; a kind without one adds nothing.
 
 Defined results: null or empty text has no spans; spans count code points.
 """
@@ -25,6 +27,7 @@ import hashlib
 import re
 import zlib
 from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass, field
 from itertools import accumulate
 
@@ -33,13 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textscan import map_texts, share_of
+from ..session import discard, written
+from .textscan import map_texts
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents that the trees learn from, and proposals used of them, at most.
-SAMPLE_DOCS, SAMPLE_SPANS = 20_000, 40_000
 PRECISION = 0.9
 TREES, DEPTH, BINS, SHRINK = 30, 3, 16, 0.3
+#: Scores that a threshold is chosen from, and rows that a task of a pass takes together.
+STEPS, TASK_ROWS = 4096, 50_000
 
 # The base patterns (kinds as listed).  Each is the stated one,
 # written so that a start inside a run that has already failed isn't tried.
@@ -227,40 +231,71 @@ class BoostedTrees:
         return 1 / (1 + np.exp(-f))
 
 
-def fit_trees(x: np.ndarray, y: np.ndarray) -> BoostedTrees:
-    """Second-order boosting on quantile bins; every tree is complete to DEPTH."""
-    rate = min(max(y.mean(), 1e-3), 1 - 1e-3)
+def _histograms(x: np.ndarray, y: np.ndarray, n: np.ndarray, cuts: list[np.ndarray], model: BoostedTrees,
+                feature: np.ndarray, cut: np.ndarray, level: int) -> np.ndarray:
+    """Rows, gradients and curvatures by (node of the level, feature, bin), each row ``n`` times."""
+    p = model.score(x)
+    node = np.zeros(len(x), np.int64)
+    for _ in range(level):
+        node = 2 * node + 1 + (x[np.arange(len(x)), feature[node]] > cut[node])
+    start = (node - (2 ** level - 1)) * BINS
+    out = np.zeros((3, 2 ** level, len(cuts), BINS))
+    for j, q in enumerate(cuts):
+        at = start + np.searchsorted(q, x[:, j], side="left")
+        for i, weight in enumerate((n, n * (y - p), n * p * (1 - p))):
+            out[i, :, j] = np.bincount(at, weight, 2 ** level * BINS).reshape(-1, BINS)
+    return out
+
+
+def _grow(rate: float, cuts: list[np.ndarray], sums_of) -> BoostedTrees:
+    """Second-order boosting on bins; every tree is complete to DEPTH.
+
+    ``sums_of(model, feature, cut, level)`` gives ``_histograms`` of all rows, one pass a level.
+    """
+    rate = min(max(rate, 1e-3), 1 - 1e-3)
     model = BoostedTrees(float(np.log(rate / (1 - rate))))
-    cuts = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
-    binned = np.stack([np.searchsorted(q, c, side="left") for q, c in zip(cuts, x.T)], axis=1)
-    f = np.full(len(x), model.prior)
+    inner = 2 ** DEPTH - 1
     for _ in range(TREES):
-        p = 1 / (1 + np.exp(-f))
-        grad, hess = y - p, p * (1 - p)
-        inner = 2 ** DEPTH - 1
-        feature, cut = np.zeros(inner, np.int64), np.full(inner, np.inf)
-        node = np.zeros(len(x), np.int64)
-        for n in range(inner):
-            rows = np.flatnonzero(node == n)
-            best = (1e-6, 0, np.inf)
-            for j, q in enumerate(cuts):
-                if len(rows) < 20 or len(q) == 0:
-                    continue
-                g = np.cumsum(np.bincount(binned[rows, j], grad[rows], len(q) + 1))
-                h = np.cumsum(np.bincount(binned[rows, j], hess[rows], len(q) + 1))
-                gain = (g ** 2 / (h + 1) + (g[-1] - g) ** 2 / (h[-1] - h + 1))[:-1] - g[-1] ** 2 / (h[-1] + 1)
-                k = int(gain.argmax())
-                if gain[k] > best[0]:
-                    best = (float(gain[k]), j, float(q[k]))
-            _, feature[n], cut[n] = best
-            node[rows] = 2 * n + 1 + (x[rows, feature[n]] > cut[n])
-        slot = node - inner
-        leaf = SHRINK * (np.bincount(slot, grad, inner + 1) / (np.bincount(slot, hess, inner + 1) + 1))
+        feature, cut, leaf = np.zeros(inner, np.int64), np.full(inner, np.inf), np.zeros(inner + 1)
+        for level in range(DEPTH):
+            rows, grad, hess = sums_of(model, feature, cut, level)
+            for i in range(2 ** level):
+                n = 2 ** level - 1 + i
+                best = (1e-6, 0, np.inf)
+                whole_g, whole_h = grad[i, 0].sum(), hess[i, 0].sum()
+                left_g, left_h = whole_g, whole_h
+                for j, q in enumerate(cuts):
+                    if rows[i, 0].sum() < 20 or len(q) == 0:
+                        continue
+                    g, h = np.cumsum(grad[i, j])[:len(q)], np.cumsum(hess[i, j])[:len(q)]
+                    gain = (g ** 2 / (h + 1) + (whole_g - g) ** 2 / (whole_h - h + 1)) - whole_g ** 2 / (whole_h + 1)
+                    k = int(gain.argmax())
+                    if gain[k] > best[0]:
+                        best = (float(gain[k]), j, float(q[k]))
+                        left_g, left_h = g[k], h[k]
+                _, feature[n], cut[n] = best
+                if level == DEPTH - 1:
+                    leaf[2 * i] = SHRINK * left_g / (left_h + 1)
+                    leaf[2 * i + 1] = SHRINK * (whole_g - left_g) / (whole_h - left_h + 1)
         model.trees.append((feature, cut, leaf))
-        f = f + leaf[slot]
     return model
 
 
+def fit_trees(x: np.ndarray, y: np.ndarray) -> BoostedTrees:
+    """Trees over rows in memory, cut at quantiles."""
+    cuts = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
+    return _grow(float(y.mean()), cuts, lambda *state: _histograms(x, y, np.ones(len(x)), cuts, *state))
+
+
+def _quantile_cuts(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The cuts that ``fit_trees`` makes of values that occur ``counts`` times each."""
+    order = np.argsort(values)
+    values, upto = values[order], np.cumsum(counts[order])
+    at = np.linspace(0, 1, BINS + 1)[1:-1] * (upto[-1] - 1)
+    low, high = (values[np.searchsorted(upto, f(at), side="right")] for f in (np.floor, np.ceil))
+    return np.unique(low + (high - low) * (at - np.floor(at)))
+
+
 @dataclass
 class PiiModel:
     trees: BoostedTrees = field(default_factory=BoostedTrees)
@@ -277,47 +312,92 @@ class PiiModel:
         return sorted(good)
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> PiiModel:
-    """Learn trees and thresholds from a bounded sample of the documents."""
-    docs = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    total = docs.select(F.count("*")).first()[0]
-    if not total:
-        return PiiModel()
+def counted_proposals(docs: DataFrame) -> DataFrame:
+    """(x, y, n, n_learn) of every document's proposals and examples: how many have features x and label y.
 
+    ``n_learn`` of them are learnt from, the other half is held out.
+    """
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        rows, same = [], []
+        found: Counter = Counter()
         for t in piece.column("text").to_pylist():
-            _, x, y = labelled_proposals(t)
-            rows += x
-            same += y
-            if t:
-                for x, y in _examples(t, base_spans(t)):
-                    rows.append(x)
-                    same.append(y)
-        return pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), pa.array(same, pa.int32())],
-                                          ["x", "y"])
-
-    found = map_texts(docs.where(share_of(F.col("doc_id"), sample_docs / total)), work,
-                      "x array<double>, y int")
-    # documents are a bounded sample; so are the proposals, whatever the texts hold
-    ordered = found.orderBy(F.xxhash64("x", "y"), "y").limit(SAMPLE_SPANS).toArrow()
-    x = np.array(ordered.column("x").to_pylist(), float).reshape(-1, FEATURES)
-    y = ordered.column("y").to_numpy().astype(float)
-    if len(y) < 2 or y.min() == y.max():
+            _, rows, same = labelled_proposals(t)
+            examples = _examples(t, base_spans(t)) if t else []
+            found.update((tuple(map(int, x)), y) for x, y in [*zip(rows, same), *examples])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in found], pa.list_(pa.int32())), pa.array([k[1] for k in found], pa.int32()),
+             pa.array(list(found.values()), pa.int64())], ["x", "y", "n"])
+
+    odd = F.pmod(F.xxhash64("x", "y"), F.lit(2))
+    return (map_texts(docs.select("text").where(F.col("text").isNotNull()), work, "x array<int>, y int, n long")
+            .groupBy("x", "y").agg(F.sum("n").alias("n"))
+            .withColumn("n_learn", F.floor((F.col("n") + odd) / 2)))
+
+
+def _added(table: DataFrame, shape: tuple[int, ...], measure) -> np.ndarray:
+    """``measure(x, y, n, n_learn)`` of all rows: summed up batch by batch in each task, then over the tasks."""
+    def part(batches):
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        x = rows.column("x").combine_chunks().flatten().to_numpy().astype(float).reshape(-1, FEATURES)
+        return measure(x, *(rows.column(c).to_numpy().astype(float) for c in ("y", "n", "n_learn")))
+
+    def run(batches):
+        total, some = np.zeros(shape), []
+        for batch in batches:
+            some.append(batch)
+            if sum(b.num_rows for b in some) >= TASK_ROWS:
+                total += part(some)
+                some = []
+        if some:
+            total += part(some)
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel()])], ["sums"])
+
+    sums = table.mapInArrow(run, "sums array<double>").toArrow().column("sums")  # a few thousand numbers a task
+    return sum((np.asarray(s.as_py()) for s in sums), np.zeros(int(np.prod(shape)))).reshape(shape)
+
+
+def fit(docs: DataFrame) -> PiiModel:
+    """Learn trees and thresholds from the proposals of all documents."""
+    table, path = written(counted_proposals(docs), "pii-proposals")
+    n_rows, least, most = table.select(F.count("*"), F.min("y"), F.max("y")).first()
+    if n_rows < 2 or least == most:
+        discard(docs.sparkSession, path)
         return PiiModel()
-    held = np.arange(len(y)) % 2 == 1
-    trees = fit_trees(x[~held], y[~held])
-    score = trees.score(x[held])
-    return PiiModel(trees, tuple(_threshold(score[x[held, 0] == k], y[held][x[held, 0] == k])
-                                 for k in range(len(KINDS))))
+    table = table.coalesce(-(-n_rows // TASK_ROWS))
+    total = F.sum("n_learn").alias("n")
+    rate = table.select((F.sum(F.col("y") * F.col("n_learn")) / F.greatest(F.sum("n_learn"), F.lit(1)))).first()[0]
+    # format features are small whole numbers, bounded by the length of a proposal
+    values = (table.where("n_learn > 0").select(F.posexplode("x").alias("at", "value"), "n_learn")
+              .groupBy("at", "value").agg(total).toArrow())
+    at, value, n = (values.column(c).to_numpy() for c in ("at", "value", "n"))
+    cuts = [_quantile_cuts(value[at == j].astype(float), n[at == j]) if (at == j).any() else np.zeros(0)
+            for j in range(FEATURES)]
+
+    def sums_of(model, feature, cut, level):
+        return _added(table, (3, 2 ** level, FEATURES, BINS),
+                      lambda x, y, n, n_learn: _histograms(x, y, n_learn, cuts, model, feature, cut, level))
+
+    trees = _grow(float(rate), cuts, sums_of)
+
+    def by_score(x, y, n, n_learn):
+        slot = x[:, 0].astype(int) * (STEPS + 1) + np.floor(trees.score(x) * STEPS).astype(int)
+        return np.stack([np.bincount(slot, w, len(KINDS) * (STEPS + 1)) for w in ((n - n_learn) * y, n - n_learn)])
+
+    positive, every = _added(table, (2, len(KINDS), STEPS + 1), lambda *rows: by_score(*rows).reshape(2, -1, STEPS + 1))
+    discard(docs.sparkSession, path)
+    steps = np.arange(STEPS + 1) / STEPS
+    return PiiModel(trees, tuple(_threshold(steps[n > 0], y[n > 0], n[n > 0]) for y, n in zip(positive, every)))
+
 
+def _threshold(score: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> float:
+    """The lowest score, 0.5 at least, from which on PRECISION of the proposals are positive (with one more of either).
 
-def _threshold(score: np.ndarray, y: np.ndarray) -> float:
-    """The lowest score, 0.5 at least, from which on PRECISION of the proposals are positive (with one more of either)."""
+    ``y`` counts the positive ones of the ``n`` (one each by default) that have a score.
+    """
     if len(y) == 0:
         return 2.0
     order = np.argsort(-score, kind="stable")
-    good = (np.cumsum(y[order]) + 1) / (np.arange(1, len(y) + 1) + 2)
+    n = np.ones(len(y)) if n is None else n
+    good = (np.cumsum(y[order]) + 1) / (np.cumsum(n[order]) + 2)
     last = np.append(score[order][1:] != score[order][:-1], True)  # equal scores stand together
     fit_here = np.flatnonzero((good >= PRECISION) & last)
     return max(0.5, float(score[order][fit_here[-1]])) if len(fit_here) else 2.0

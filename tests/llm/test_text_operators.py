@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from strata.llm import bpe, decontaminate, langid, pii
 
@@ -140,6 +141,35 @@ def test_obfuscated_mails_are_added(spark):
     assert not any(got[2000 + i]["spans"] for i in range(50))
 
 
+def test_every_document_teaches_the_trees(spark):
+    """Counts of all proposals, however many documents hold them, and the cuts of all their values."""
+    text = F.concat(F.lit("card "), F.col("id") % 3 + 1000, F.lit(" 5678 9012 3456 or write to a@b"), F.col("id") % 3, F.lit(".org"))
+    docs = spark.range(45_000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    got = pii.counted_proposals(docs).agg(F.sum("n").alias("n"), F.sum("n_learn").alias("learn"), F.count("*").alias("rows"))
+    one = [f"card {1000 + i} 5678 9012 3456 or write to a@b{i}.org" for i in range(3)]
+    each = sum(len(pii.labelled_proposals(t)[0]) + len(pii._examples(t, pii.base_spans(t))) for t in one)
+    got = got.first()
+    assert got["n"] == 15_000 * each and abs(got["learn"] - got["n"] / 2) <= got["rows"]
+    rng = np.random.default_rng(3)
+    values, counts = np.arange(40.0), rng.integers(1, 9, 40)
+    want = np.unique(np.quantile(np.repeat(values, counts), np.linspace(0, 1, pii.BINS + 1)[1:-1]))
+    assert np.allclose(pii._quantile_cuts(values, counts), want)
+
+
+def test_passes_over_a_table_grow_the_trees_of_rows_in_memory(spark):
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 9, (600, pii.FEATURES))
+    x[:, 0] %= 4
+    y = ((x[:, 3] > 4) & (x[:, 5] < 6)).astype(int)
+    table = spark.createDataFrame([(r.tolist(), int(t), 2, 1) for r, t in zip(x, y)],
+                                  "x array<int>, y int, n long, n_learn long").repartition(3)
+    cuts = [np.unique(np.quantile(c, np.linspace(0, 1, pii.BINS + 1)[1:-1])) for c in x.T]
+    state = pii.BoostedTrees(), np.array([3] + [0] * 6), np.array([4.0] + [np.inf] * 6), 1
+    got = pii._added(table, (3, 2, pii.FEATURES, pii.BINS),
+                     lambda x, y, n, n_learn: pii._histograms(x, y, n_learn, cuts, *state))
+    assert np.allclose(got, pii._histograms(x.astype(float), y.astype(float), np.ones(600), cuts, *state))
+
+
 def test_pii_query_matches_the_patterns(spark):
     rows = odd_rows() + [doc(50, "é a@b.co"), doc(51, "4111111111111111")]
     table = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]

@@ -27,6 +27,18 @@ def test_kmeans_golden_centres(spark):
     assert all(r["cluster"] == r["nearest"] for r in out.collect())
 
 
+def test_plain_columns_are_clustered_without_a_pass_that_counts_zeros(spark):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(rng.normal(size=(200, 2)))],
+                               "id long, a double, b double").repartition(2).cache()
+    model, kept = CL.fit_assign(df, ["a", "b"], 4, seed=3, keep=["id"])
+    assert model.getSolver() == "row"
+    data = FE.assembler(["a", "b"]).transform(df)
+    auto = CL.kmeans(4, seed=3).fit(data)
+    assert {(r.id, r.cluster) for r in kept.collect()} == {
+        (r.id, r.cluster) for r in auto.transform(data).select("id", "cluster").collect()}
+
+
 def _pca_rows(spark):
     return spark.createDataFrame([(Vectors.sparse(5, [(1, 1.0), (3, 7.0)]),),
                                   (Vectors.dense([2.0, 0.0, 3.0, 4.0, 5.0]),),

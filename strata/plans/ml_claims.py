@@ -152,10 +152,11 @@ def q_cv_curve(spark, sf_dir):
     """Validation curves over regParam on a 10% sample for five models (J-14, M-19..M-23).
 
     Folds re-fit the model only; the encoders were fitted on the whole
-    training side before the sample was drawn.
+    training side before the sample was drawn.  The sample is written with its
+    folds, so no fit draws it again from all rows.
     """
     train, _ = _prepared(spark, sf_dir)
-    subset = bernoulli_sample(train, 0.1, seed=SEED)
+    subset = TU.written_folds(bernoulli_sample(train, 0.1, seed=SEED), 3, SEED)
     out = None
     for name, est, label, kind in _claim_models():
         final = est
@@ -165,7 +166,7 @@ def q_cv_curve(spark, sf_dir):
             from pyspark.ml.evaluation import MulticlassClassificationEvaluator
             ev = MulticlassClassificationEvaluator(labelCol=label, metricName="f1")
         cvm = TU.cross_validate(est, TU.grid([(final.regParam, REG_GRID)]), ev, subset,
-                                folds=3, seed=SEED, parallelism=4)
+                                folds=3, seed=SEED, parallelism=4, fold_col="fold")
         part = TU.validation_curve(spark, cvm, name)
         out = part if out is None else out.unionByName(part)
     return out

@@ -2,12 +2,15 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from strata.operators import models as MO
 from strata.operators import tune as TU
+from strata.plans import ml_claims as MC
+
+from .conftest import SMALL
 
 
 @pytest.fixture(scope="module")
@@ -43,3 +46,30 @@ def test_staged_search_equals_fold_by_fold_fits(spark, rows):
     curve = TU.validation_curve(spark, found, "gbt").collect()
     assert [r.setting for r in curve] == [f"maxDepth={d}, maxIter={n}" for d in (1, 3) for n in (2, 5)]
     assert sum(r.is_best for r in curve) == 1
+
+
+def test_written_folds_are_those_of_the_random_split(spark):
+    rng = np.random.default_rng(9)
+    data = spark.createDataFrame([(float(a), [float(a) + float(b)]) for a, b in rng.normal(size=(300, 2))],
+                                 "y double, a array<double>").select("y", array_to_vector("a").alias("features"))
+    data = data.repartition(3).cache()
+    est = MO.linear("y", solver="normal")
+    maps, ev = TU.grid([(est.regParam, [0.01, 1.0])]), RegressionEvaluator(labelCol="y", metricName="rmse")
+    written = TU.written_folds(data, 3, 42)
+    got = TU.cross_validate(est, maps, ev, written, folds=3, seed=42, fold_col="fold")
+    want = TU.cross_validate(est, maps, ev, data, folds=3, seed=42)
+    assert got.avgMetrics == pytest.approx(want.avgMetrics, abs=1e-9)
+    assert got.stdMetrics == pytest.approx(want.stdMetrics, abs=1e-9)
+
+
+def test_claims_search_reads_its_sample_only(spark, monkeypatch):
+    seen = []
+
+    def stop(estimator, maps, evaluator, df, **_):
+        seen.append(df)
+        raise StopIteration
+
+    monkeypatch.setattr(TU, "cross_validate", stop)
+    with pytest.raises(StopIteration):
+        MC.q_cv_curve(spark, SMALL)
+    assert 0 < seen[0].count() == spark.read.parquet(*seen[0].inputFiles()).count()

@@ -53,7 +53,7 @@ S_GLM_MARGINS = f"WITH {fx.CLAIMS_SQL}\n" + "\nUNION ALL\n".join(
 def q_als_score_facts(spark, sf_dir):
     """Predicted ratings as products of the two factors, for every rating of every user (M-10, M-16)."""
     ratings = _ratings(spark, sf_dir)
-    model = _fit(ratings, "default")
+    model = _fit(ratings, "default", light=True)
     user = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("uf"))
     item = model.itemFactors.select(F.col("id").alias("item_id"), F.col("features").alias("vf"))
     dot = F.aggregate(F.zip_with("uf", "vf", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0),

@@ -91,3 +91,9 @@ def test_fits_drop_shuffles_and_use_few_blocks(spark, monkeypatch):
     assert RE.als_blocks(spark.range(100)) == 12
     monkeypatch.setattr(RE, "FEW_RATINGS", 10)
     assert RE.als_blocks(spark.range(100)) == 6 and RE.als_blocks(spark.range(100), 3) == 3
+
+
+def test_a_light_fit_takes_a_quarter_of_the_cores(spark, monkeypatch):
+    monkeypatch.setattr(RE, "cluster_cores", lambda spark: 12)
+    monkeypatch.setattr(RE, "FEW_RATINGS", 10)
+    assert RE.als_blocks(spark.range(100), light=True) == 3 and RE.als_blocks(spark.range(5), light=True) == 12

@@ -7,6 +7,7 @@ import pytest
 
 from strata.operators import recommend as RE
 from strata.operators import sketches as SK
+from strata.session import task_heap
 
 
 @pytest.mark.parametrize("support", [0.02, 0.1, 0.6])
@@ -97,3 +98,14 @@ def test_a_light_fit_takes_a_quarter_of_the_cores(spark, monkeypatch):
     monkeypatch.setattr(RE, "cluster_cores", lambda spark: 12)
     monkeypatch.setattr(RE, "FEW_RATINGS", 10)
     assert RE.als_blocks(spark.range(100), light=True) == 3 and RE.als_blocks(spark.range(5), light=True) == 12
+
+
+def test_blocks_fit_the_heap_of_a_task(spark, monkeypatch):
+    assert task_heap(spark) > 1 << 20
+    monkeypatch.setattr(RE, "cluster_cores", lambda spark: 12)
+    monkeypatch.setattr(RE, "FEW_RATINGS", 10)
+    monkeypatch.setattr(RE, "task_heap", lambda spark: 5 * RE.RATING_BYTES)
+    assert RE.als_blocks(spark.range(100)) == RE.als_blocks(spark.range(100), 3, light=True) == 20
+    assert RE.als_blocks(spark.range(20), 3) == 4 and RE.als_blocks(spark.range(10)) == 6
+    monkeypatch.setattr(RE, "task_heap", lambda spark: None)
+    assert RE.als_blocks(spark.range(100)) == 6
